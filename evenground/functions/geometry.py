@@ -56,6 +56,15 @@ def bounds(edge_array: Column) -> list[Column]:
     ]
 
 
+def with_bounds(rings: Column) -> Column:
+    """Array of one struct ``edges, xmin, ymin, xmax, ymax``, for ``inline``.
+
+    The lambda binds the edges once; plain columns would be expanded into
+    every place that uses them.
+    """
+    return F.transform(F.array(edges(rings)), lambda e: F.struct(e.alias("edges"), *bounds(e)))
+
+
 _ON_EDGE = 1 << 20
 
 

@@ -68,7 +68,7 @@ def typed(c: Column, kind: str) -> Column:
 
 
 def _midnight(text: str) -> Column:
-    return F.to_timestamp(F.lit(text.strip()), F.lit("MM/dd/yyyy")).cast("timestamp_ntz")
+    return F.to_timestamp(F.lit(text.strip()), "MM/dd/yyyy").cast("timestamp_ntz")
 
 
 def predicate(f: Filter) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenground.catalogs import NATION_BBOX, SHORT_DEMO, SHORT_GEO
-from evenground.functions.geometry import bounds, edges
+from evenground.functions.geometry import with_bounds
 
 DIGITS = 5
 _GEO_KEEP = ("dataset_id", "GEOID", "disp_name", "NAME", "weighted_counts", "rings", "data_prop")
@@ -57,12 +57,12 @@ def column_bounds(short: DataFrame, keys: Iterable[str] = ("dataset_id",), digit
 def bounding_box(areas: DataFrame, keys: Iterable[str] = ("dataset_id",)) -> DataFrame:
     """Box of all areas per key; the nation has a fixed one."""
     keys = list(keys)
-    boxed = areas.select(*keys, edges(F.col("rings")).alias("edges"), *(["geo"] if "geo" in areas.columns and "geo" not in keys else []))
-    extents = boxed.select(*[c for c in boxed.columns if c != "edges"], *bounds(F.col("edges")))
+    level = ["geo"] if "geo" in areas.columns and "geo" not in keys else []
+    extents = areas.select(*keys, *level, F.inline(with_bounds(F.col("rings"))))
     out = extents.groupBy(*keys).agg(
         F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
         F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"),
-        *([F.bool_or(F.col("geo") == "national").alias("nation")] if "geo" in extents.columns and "geo" not in keys else []),
+        *[F.bool_or(F.col(c) == "national").alias("nation") for c in level],
     )
     if "nation" not in out.columns:
         return out

@@ -15,14 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenground.catalogs import COVERED_SHARE
-from evenground.functions.geometry import area, bounds, edges
+from evenground.functions.geometry import area, with_bounds
 
 
 def _boxes(polygons: DataFrame, id_column: str, name: str) -> DataFrame:
-    with_edges = polygons.select(
-        F.col(id_column).alias(name), edges(F.col("rings")).alias("edges"), area(F.col("rings")).alias("area")
-    )
-    return with_edges.where(F.size("edges") > 0).select(name, "edges", "area", *bounds(F.col("edges")))
+    return polygons.select(
+        F.col(id_column).alias(name), area(F.col("rings")).alias("area"), F.inline(with_bounds(F.col("rings")))
+    ).where(F.size("edges") > 0)
 
 
 def _typical_side(boxes: DataFrame) -> tuple[float, float]:

@@ -7,7 +7,7 @@ that a ray to the right of a point in this cell can meet.  A point looks up
 one cell, so it meets at most one index row and unmatched points survive a
 left join without a point id.
 
-The join has two forms, chosen by the exact number of index entries, which one
+The join has two forms, chosen by an upper bound of the index size, which one
 aggregate over the polygons gives before the index is built:
 
 * small index: broadcast, the points are not shuffled at all;
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from evenground.catalogs import NATION_GEOID, NATION_NAME, SAMPLE_ABOVE, SAMPLE_SHARE
-from evenground.functions.geometry import bounds, edges, strictly_inside
+from evenground.functions.geometry import strictly_inside, with_bounds
 from evenground.operators.clean import usable
 from evenground.session import durable, small_side
 
@@ -34,7 +34,6 @@ MAX_ENTRIES = 400_000_000
 ENTRY_BYTES = 160
 BROADCAST_BYTES = 512 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
-_EXPONENTS = range(-10, 4)
 
 
 @dataclass(frozen=True)
@@ -65,45 +64,42 @@ def _cell_no(c: Column, cell: float) -> Column:
 
 
 def _polygon_edges(polygons: DataFrame, id_column: str) -> DataFrame:
-    with_edges = polygons.select(F.col(id_column).alias("poly_id"), edges(F.col("rings")).alias("edges"))
-    return with_edges.where(F.size("edges") > 0).select("poly_id", "edges", *bounds(F.col("edges")))
+    return polygons.select(
+        F.col(id_column).alias("poly_id"), F.inline(with_bounds(F.col("rings")))
+    ).where(F.size("edges") > 0)
 
 
 def measure_grid(polygons: DataFrame, id_column: str = "GEOID", cells_per_side: int = CELLS_PER_SIDE,
                  max_entries: int = MAX_ENTRIES) -> tuple[float, int]:
-    """Cell size and exact number of index entries, from one aggregate.
+    """Cell size and an upper bound of the index entries, from one aggregate.
 
-    The cell is the power of two next to the median polygon side over
+    An edge of height h reaches into at most h/cell + 2 rows, and a row of a
+    polygon of width w has at most w/cell + 2 cells; summed over all edges
+    this is a polynomial in 1/cell with four sums as coefficients.  The cell
+    is the power of two next to the median polygon side over
     ``cells_per_side``, made coarser while the index would be too large.
     """
-
-    def entries(cell: float) -> Column:
-        first = _cell_no(F.col("xmin"), cell)
-
-        def add(total: Column, e: Column) -> Column:
-            rows = _cell_no(F.greatest(e.y1, e.y2), cell) - _cell_no(F.least(e.y1, e.y2), cell) + 1
-            columns = _cell_no(F.greatest(e.x1, e.x2), cell) - first + 1
-            return total + (rows * columns).cast("bigint")
-
-        return F.sum(F.aggregate("edges", F.lit(0).cast("bigint"), add))
-
+    height = F.aggregate("edges", F.lit(0.0), lambda s, e: s + F.abs(e.y2 - e.y1))
     side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
     row = (
         _polygon_edges(polygons, id_column)
+        .select(side.alias("side"), F.size("edges").alias("n"), height.alias("h"), (F.col("xmax") - F.col("xmin")).alias("w"))
         .agg(
-            F.percentile_approx(side, 0.5).alias("side"),
-            *[entries(2.0**k).alias(f"n{i}") for i, k in enumerate(_EXPONENTS)],
+            F.percentile_approx("side", 0.5).alias("side"), F.sum(F.col("h") * F.col("w")).alias("hw"),
+            F.sum("h").alias("h"), F.sum(F.col("n") * F.col("w")).alias("nw"), F.sum("n").alias("n"),
         )
         .first()
     )
     if not row["side"]:
         return 1.0, 0
-    ideal = math.log2(row["side"] / cells_per_side)
-    fits = [(k, row[f"n{i}"]) for i, k in enumerate(_EXPONENTS) if row[f"n{i}"] <= max_entries]
-    if not fits:
-        return 2.0 ** _EXPONENTS[-1], row[f"n{len(_EXPONENTS) - 1}"]
-    k, n = min(fits, key=lambda kn: abs(kn[0] - ideal))
-    return 2.0**k, n
+    k = round(math.log2(row["side"] / cells_per_side))
+
+    def entries(cell: float) -> int:
+        return math.ceil(row["hw"] / cell**2 + 2 * (row["h"] + row["nw"]) / cell + 4 * row["n"])
+
+    while entries(2.0**k) > max_entries and 2.0**k < 360:
+        k += 1
+    return 2.0**k, entries(2.0**k)
 
 
 def cell_index(polygons: DataFrame, id_column: str = "GEOID", **grid) -> CellIndex:
@@ -124,7 +120,8 @@ def cell_index(polygons: DataFrame, id_column: str = "GEOID", **grid) -> CellInd
         (low_x < (F.col("cx") + 1) * cell) & (high_x >= F.col("cx") * cell)
         & (low_y < (F.col("cy") + 1) * cell) & (high_y >= F.col("cy") * cell)
     )
-    candidates = per_cell.groupBy("cx", "cy", "poly_id").agg(
+    # one shuffle by cell serves both groupings
+    candidates = per_cell.repartition("cx", "cy").groupBy("cx", "cy", "poly_id").agg(
         F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
         F.max(border).alias("border"),
     )

@@ -28,7 +28,7 @@ _MEASURES = {
 _SUMS = ",\n".join(f"CAST(sum({e}) AS DOUBLE) AS num_{n}" for n, e in _MEASURES.items())
 _MARGINS = ",\n".join(
     f"sqrt(a.num_{n}) AS num_{n}_margin" if n != "pop"
-    else "CASE WHEN s.s_suppkey % 7 = 0 THEN NULL ELSE sqrt(a.num_pop) END AS num_pop_margin"
+    else "CASE WHEN s.k % 7 = 0 THEN NULL ELSE sqrt(a.num_pop) END AS num_pop_margin"
     for n in BASELINES
 )
 _ROLLED = ",\n".join(
@@ -36,20 +36,22 @@ _ROLLED = ",\n".join(
 )
 
 VIEWS: dict[str, str] = {
-    # areas with their squares, counts and margins
-    "fx_tract": f"""
+    # areas with their squares
+    "fx_square": """
 SELECT lpad(CAST(n.n_regionkey + 1 AS STRING), 2, '0') || lpad(CAST(n.n_nationkey + 1 AS STRING), 3, '0')
          || lpad(CAST(s.s_suppkey + 1 AS STRING), 6, '0') AS GEOID,
        'Census Tract ' || CAST(s.s_suppkey + 1 AS STRING) AS disp_name,
        'Census Tract ' || CAST(s.s_suppkey + 1 AS STRING) || '; ' || n.n_name || '; ' || r.r_name AS NAME,
        s.s_suppkey AS k,
        CAST(-125 + s.s_suppkey % 40 AS DOUBLE) AS x0, CAST(-124 + s.s_suppkey % 40 AS DOUBLE) AS x1,
-       CAST(25 + floor(s.s_suppkey / 40.0) AS DOUBLE) AS y0, CAST(26 + floor(s.s_suppkey / 40.0) AS DOUBLE) AS y1,
-       {", ".join(f"a.num_{n}" for n in BASELINES)},
-       {_MARGINS}
-FROM {{supplier}} s JOIN {{nation}} n ON s.s_nationkey = n.n_nationkey
-JOIN {{region}} r ON n.n_regionkey = r.r_regionkey
-JOIN (SELECT l_suppkey, {_SUMS} FROM {{lineitem}} GROUP BY l_suppkey) a ON a.l_suppkey = s.s_suppkey""",
+       CAST(25 + floor(s.s_suppkey / 40.0) AS DOUBLE) AS y0, CAST(26 + floor(s.s_suppkey / 40.0) AS DOUBLE) AS y1
+FROM {supplier} s JOIN {nation} n ON s.s_nationkey = n.n_nationkey
+JOIN {region} r ON n.n_regionkey = r.r_regionkey""",
+    # areas with counts and margins
+    "fx_tract": f"""
+SELECT s.*, {", ".join(f"a.num_{n}" for n in BASELINES)}, {_MARGINS}
+FROM {{fx_square}} s
+JOIN (SELECT l_suppkey, {_SUMS} FROM {{lineitem}} GROUP BY l_suppkey) a ON a.l_suppkey = s.k""",
     # one point per line item
     "fx_point": """
 SELECT l_orderkey, l_linenumber, l_returnflag AS dataset_id,
