@@ -1,100 +1,108 @@
-"""Margins of error and guarded arithmetic as column expressions.
+"""Margins of error and guarded arithmetic as SQL expression text.
+
+The reference build derives hundreds of columns from the same few formulas.
+As text, each is parsed by Spark in one call; built operator by operator from
+Python it would take thousands of calls.  Arguments are column names or
+expressions, results go into ``expr``/``selectExpr``.
 
 Missing values are NULL throughout.  Nothing here can yield NaN or raise under
-ANSI mode: divisions go through ``try_divide`` and square roots through
-``root``, which answers NULL for a negative radicand.
+ANSI mode: divisions go through ``try_divide``, and ``root`` answers NULL for
+a negative radicand.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from evenground.catalogs import Z_90
 
 
-def no_nan(c: Column) -> Column:
-    """NaN becomes NULL, so that sums skip it and comparisons stay unknown."""
-    return F.when(~F.isnan(c), c)
+def square(x: str) -> str:
+    return f"(({x}) * ({x}))"
 
 
-def square(c: Column) -> Column:
-    return c * c
+def root(x: str) -> str:
+    return f"(CASE WHEN {x} >= 0 THEN sqrt({x}) END)"
 
 
-def root(c: Column) -> Column:
-    return F.when(c >= 0, F.sqrt(c))
+def divide(num: str, denom: str) -> str:
+    return f"try_divide({num}, {denom})"
 
 
-def safe_divide(num: Column, denom: Column) -> Column:
+def safe_divide(num: str, denom: str) -> str:
     """Missing stays missing, 0/0 is 0, x/0 is missing, else the ratio."""
-    return F.when((num == 0) & (denom == 0), F.lit(0.0)).otherwise(F.try_divide(num, denom))
+    return f"(CASE WHEN {num} = 0 AND {denom} = 0 THEN 0D ELSE {divide(num, denom)} END)"
 
 
-def moe_sum(estimates: Sequence[Column], margins: Sequence[Column]) -> Column:
+def moe_sum(estimates: Sequence[str], margins: Sequence[str]) -> str:
     """Margin of a sum over columns of one row.
 
     Root of the squared margins, where all zero estimates together count only
     with the largest of their margins.
     """
     pairs = list(zip(estimates, margins, strict=True))
-    nonzero = reduce(lambda a, b: a + b, [F.when(e == 0, F.lit(0.0)).otherwise(square(m)) for e, m in pairs])
-    zero = [F.when(e == 0, m).otherwise(F.lit(0.0)) for e, m in pairs]
-    return F.sqrt(nonzero + square(F.greatest(*zero) if len(zero) > 1 else zero[0]))
+    nonzero = " + ".join(f"if({e} = 0, 0D, {square(m)})" for e, m in pairs)
+    zero = ", ".join(f"if({e} = 0, {m}, 0D)" for e, m in pairs)
+    return f"sqrt({nonzero} + power(greatest({zero}, 0D), 2))"
 
 
-def moe_sum_agg(estimate: Column, margin: Column) -> Column:
+def moe_sum_agg(estimate: str, margin: str) -> str:
     """The same margin for a sum over the rows of a group."""
-    nonzero = F.coalesce(F.sum(F.when(estimate != 0, square(margin))), F.lit(0.0))
-    zero = F.coalesce(F.max(F.when(estimate == 0, margin)), F.lit(0.0))
-    return F.sqrt(nonzero + square(zero))
+    nonzero = f"coalesce(sum(CASE WHEN {estimate} != 0 THEN {square(margin)} END), 0D)"
+    zero = f"coalesce(max(CASE WHEN {estimate} = 0 THEN {margin} END), 0D)"
+    return f"sqrt({nonzero} + power({zero}, 2))"
 
 
-def rss_agg(margin: Column) -> Column:
+def rss_agg(margin: str) -> str:
     """Plain root of summed squares over the rows of a group."""
-    return F.sqrt(F.sum(square(margin)))
+    return f"sqrt(sum({square(margin)}))"
 
 
-def moe_prop(num: Column, denom: Column, moe_num: Column, moe_denom: Column) -> Column:
+def moe_prop(num: str, denom: str, moe_num: str, moe_denom: str) -> str:
     """Margin of a proportion; falls back to the ratio form below zero."""
-    scaled = square(F.try_divide(num, denom)) * square(moe_denom)
-    minus = square(moe_num) - scaled
-    radicand = F.when(minus < 0, square(moe_num) + scaled).otherwise(minus)
-    return F.try_divide(F.sqrt(radicand), denom)
+    scaled = f"{square(divide(num, denom))} * {square(moe_denom)}"
+    radicand = (
+        f"if({square(moe_num)} - {scaled} < 0, {square(moe_num)} + {scaled}, {square(moe_num)} - {scaled})"
+    )
+    return divide(f"sqrt({radicand})", denom)
 
 
-def percent(num: Column, denom: Column) -> Column:
-    return F.bround(safe_divide(num, denom) * 100, 3)
+def percent(num: str, denom: str) -> str:
+    return f"bround({safe_divide(num, denom)} * 100, 3)"
 
 
-def plain_percent(num: Column, denom: Column) -> Column:
+def plain_percent(num: str, denom: str) -> str:
     """City percents are an unguarded ratio: 0/0 is missing."""
-    return F.bround(F.try_divide(num, denom) * 100, 3)
+    return f"bround({divide(num, denom)} * 100, 3)"
 
 
-def percent_margin(num: Column, denom: Column, moe_num: Column, moe_denom: Column) -> Column:
-    return F.when((num == 0) & (denom == 0), F.lit(0.0)).otherwise(
-        F.bround(moe_prop(num, denom, moe_num, moe_denom) * 100, 3)
-    )
+def percent_margin(num: str, denom: str, moe_num: str, moe_denom: str) -> str:
+    margin = f"bround({moe_prop(num, denom, moe_num, moe_denom)} * 100, 3)"
+    return f"(CASE WHEN {num} = 0 AND {denom} = 0 THEN 0D ELSE {margin} END)"
 
 
-def repaired_percent(value: Column, num: Column, denom: Column) -> Column:
-    return F.when((num == 0) & (denom == 0), F.lit(0.0)).otherwise(value)
+def repaired_percent(value: str, num: str, denom: str) -> str:
+    return f"(CASE WHEN {num} = 0 AND {denom} = 0 THEN 0D ELSE {value} END)"
+
+
+def repaired_margin(margin: str, num: str, denom: str, moe_num: str, moe_denom: str) -> str:
+    both_zero = f"{num} = 0 AND {denom} = 0"
+    both_controlled = (
+        f"{margin} IS NULL AND {moe_num} = 0 AND {moe_denom} = 0 AND {denom} != 0 AND {num} != 0"
+    )
+    return f"(CASE WHEN ({both_zero}) OR ({both_controlled}) THEN 0D ELSE {margin} END)"
 
 
-def repaired_margin(margin: Column, num: Column, denom: Column, moe_num: Column, moe_denom: Column) -> Column:
-    both_zero = (num == 0) & (denom == 0)
-    both_controlled = margin.isNull() & (moe_num == 0) & (moe_denom == 0) & (denom != 0) & (num != 0)
-    return F.when(both_zero | both_controlled, F.lit(0.0)).otherwise(margin)
+def standard_error(margin: str) -> str:
+    return f"({margin} / {Z_90}D)"
 
 
-def ratio_se(x: Column, y: Column, se_x: Column, se_y: Column) -> Column:
+def ratio_se(x: str, y: str, se_x: str, se_y: str) -> str:
     """Standard error of x/y without fallback: negative radicand is missing."""
-    return F.try_divide(root(square(se_x) - square(F.try_divide(x, y)) * square(se_y)), y)
+    return divide(root(f"({square(se_x)} - {square(divide(x, y))} * {square(se_y)})"), y)
 
 
-def standard_error(margin: Column) -> Column:
-    return margin / Z_90
+def unpivot(rows: Sequence[Sequence[str]], names: Sequence[str]) -> str:
+    """``stack`` of the given rows of expressions."""
+    cells = ", ".join(cell for row in rows for cell in row)
+    return f"stack({len(rows)}, {cells}) AS ({', '.join(names)})"

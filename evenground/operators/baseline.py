@@ -14,7 +14,7 @@ from evenground.catalogs import (
 )
 from evenground.functions.margins import (
     moe_prop, moe_sum, moe_sum_agg, percent, percent_margin, plain_percent, repaired_margin,
-    repaired_percent, rss_agg, safe_divide,
+    repaired_percent, rss_agg, safe_divide, unpivot,
 )
 from evenground.functions.names import (
     before_comma, clean_place_name, county_of, district_name, in_states, name_part, state_of,
@@ -28,15 +28,14 @@ def with_margins(names: Iterable[str]) -> list[str]:
 
 def unpivot_pairs(df: DataFrame, keys: Iterable[str], names: Iterable[str]) -> DataFrame:
     """Wide ``v, v_margin`` columns -> rows ``var, value, value_margin``."""
-    rows = [
-        F.struct(
-            F.lit(n).alias("var"),
-            F.col(n).cast("double").alias("value"),
-            F.col(f"{n}_margin").cast("double").alias("value_margin"),
-        )
-        for n in names
-    ]
-    return df.select(*keys, F.inline(F.array(*rows)))
+    rows = [(f"'{n}'", f"CAST({n} AS DOUBLE)", f"CAST({n}_margin AS DOUBLE)") for n in names]
+    return df.selectExpr(*keys, unpivot(rows, ("var", "value", "value_margin")))
+
+
+def derive(df: DataFrame, new: Mapping[str, str]) -> DataFrame:
+    """Add or replace columns given as expression text, in one projection."""
+    kept = [f"`{c}`" for c in df.columns if c not in new]
+    return df.selectExpr(*kept, *[f"{e} AS `{n}`" for n, e in new.items()])
 
 
 # --- survey tables ---------------------------------------------------------
@@ -44,10 +43,10 @@ def unpivot_pairs(df: DataFrame, keys: Iterable[str], names: Iterable[str]) -> D
 
 def rename_survey(landing: DataFrame, codes: Mapping[str, str], keep: Iterable[str] = ("GEOID", "NAME")) -> DataFrame:
     """Landing columns ``<code>E``/``<code>M`` -> clean names with margins."""
-    return landing.select(
+    return landing.selectExpr(
         *keep,
         *[
-            F.col(f"{code}{kind}").cast("double").alias(f"{name}{suffix}")
+            f"CAST(`{code}{kind}` AS DOUBLE) AS {name}{suffix}"
             for name, code in codes.items()
             for kind, suffix in (("E", ""), ("M", "_margin"))
         ],
@@ -62,13 +61,8 @@ def repair_county(df: DataFrame, year: str) -> DataFrame:
     """Two survey years lost values of one county: they become 0."""
     if str(year) not in REPAIRED_YEARS:
         return df
-    repaired = F.col("GEOID").startswith(REPAIRED_COUNTY)
-    return df.withColumns(
-        {
-            c: F.when(repaired, F.coalesce(F.col(c), F.lit(0.0))).otherwise(F.col(c))
-            for c in _survey_numbers(df)
-        }
-    )
+    repaired = f"GEOID LIKE '{REPAIRED_COUNTY}%'"
+    return derive(df, {c: f"if({repaired}, coalesce({c}, 0D), {c})" for c in _survey_numbers(df)})
 
 
 def tract_columns(df: DataFrame, year: str) -> DataFrame:
@@ -86,9 +80,10 @@ def tract_columns(df: DataFrame, year: str) -> DataFrame:
 def missing_margin_profile(df: DataFrame) -> DataFrame:
     """Missing values per ``num_`` column, most first."""
     names = ["GEOID", *[c for c in df.columns if c.startswith("num_")]]
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
-    rows = [F.struct(F.lit(c).alias("var"), F.col(c).alias("value")) for c in names]
-    return counts.select(F.inline(F.array(*rows))).orderBy(F.desc("value"), "var")
+    counts = df.agg(*[F.expr(f"count_if({c} IS NULL) AS {c}") for c in names])
+    return counts.selectExpr(unpivot([(f"'{c}'", c) for c in names], ("var", "value"))).orderBy(
+        F.desc("value"), "var"
+    )
 
 
 def estimates_with_missing(profile: DataFrame) -> DataFrame:
@@ -106,16 +101,14 @@ def add_sums(df: DataFrame) -> DataFrame:
     for phase in (SUMS, SUMS_OF_SUMS):
         new = {}
         for name, parts in phase.items():
-            estimates = [F.col(p) for p in parts]
-            margins = [F.col(f"{p}_margin") for p in parts]
-            new[name] = sum(estimates[1:], estimates[0])
-            new[f"{name}_margin"] = moe_sum(estimates, margins)
-        df = df.withColumns(new)
+            new[name] = " + ".join(parts)
+            new[f"{name}_margin"] = moe_sum(parts, [f"{p}_margin" for p in parts])
+        df = derive(df, new)
     return df
 
 
-def _ratio_args(num: str, denom: str):
-    return F.col(num), F.col(denom), F.col(f"{num}_margin"), F.col(f"{denom}_margin")
+def _ratio_args(num: str, denom: str) -> tuple[str, str, str, str]:
+    return num, denom, f"{num}_margin", f"{denom}_margin"
 
 
 def add_percents(df: DataFrame, definitions=DERIVED_PERCENTS, reported=REPORTED_PERCENTS) -> DataFrame:
@@ -127,9 +120,9 @@ def add_percents(df: DataFrame, definitions=DERIVED_PERCENTS, reported=REPORTED_
         new[f"{name}_margin"] = percent_margin(*args)
     for name, num, denom in reported:
         args = _ratio_args(num, denom)
-        new[name] = repaired_percent(F.col(name), *args[:2])
-        new[f"{name}_margin"] = repaired_margin(F.col(f"{name}_margin"), *args)
-    return df.withColumns(new)
+        new[name] = repaired_percent(name, *args[:2])
+        new[f"{name}_margin"] = repaired_margin(f"{name}_margin", *args)
+    return derive(df, new)
 
 
 def percents_out_of_range(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -187,14 +180,14 @@ def add_proportions(numerators: DataFrame, denominators: DataFrame, baselines=BA
     Spark broadcasts the denominators when their size allows it.
     """
     names = with_margins(f"num_{b}" for b in baselines)
-    denom = denominators.select(F.col("GEOID").alias("denom_geoid"), *[F.col(n).alias(f"d_{n}") for n in names])
+    denom = denominators.selectExpr("GEOID AS denom_geoid", *[f"{n} AS d_{n}" for n in names])
     joined = numerators.join(denom, "denom_geoid", "left")
     new = {}
     for b in baselines:
-        num, d = F.col(f"num_{b}"), F.col(f"d_num_{b}")
+        num, d = f"num_{b}", f"d_num_{b}"
         new[f"prop_{b}"] = safe_divide(num, d)
-        new[f"prop_{b}_margin"] = moe_prop(num, d, F.col(f"num_{b}_margin"), F.col(f"d_num_{b}_margin"))
-    return joined.withColumns(new).drop(*[f"d_{n}" for n in names])
+        new[f"prop_{b}_margin"] = moe_prop(num, d, f"{num}_margin", f"{d}_margin")
+    return derive(joined, new).drop(*[f"d_{n}" for n in names])
 
 
 def by_prefix(areas: DataFrame, length: int) -> DataFrame:
@@ -212,10 +205,10 @@ def prop_sum_violations(props: DataFrame, keys: Iterable[str] = ("denom_geoid",)
     """
     keys = list(keys)
     sums = props.groupBy(*keys).agg(*[F.sum(f"prop_{b}").alias(f"prop_{b}") for b in baselines])
-    rows = [F.struct(F.lit(f"prop_{b}").alias("var"), F.col(f"prop_{b}").alias("value")) for b in baselines]
+    rows = [(f"'prop_{b}'", f"prop_{b}") for b in baselines]
     # summing in another order moves the last digits, hence 1e-9 on both sides
-    return sums.select(*keys, F.inline(F.array(*rows))).where(
-        ((F.col("value") > 0) & (F.col("value") < 1 - 1e-9)) | (F.col("value") > 1 + 1e-9)
+    return sums.selectExpr(*keys, unpivot(rows, ("var", "value"))).where(
+        "(value > 0 AND value < 1 - 1e-9) OR value > 1 + 1e-9"
     )
 
 
@@ -273,21 +266,17 @@ def city_stats(city_tracts: DataFrame, definitions=CITY_PERCENTS, baselines=BASE
     parts = sorted({n for _, num, denom in definitions for n in (num, denom)})
     aggregates = []
     for n in parts:
-        aggregates += [F.sum(n).alias(n), rss_agg(F.col(f"{n}_margin")).alias(f"{n}_margin")]
+        aggregates += [f"sum({n}) AS {n}", f"{rss_agg(f'{n}_margin')} AS {n}_margin"]
     for b in baselines:
-        total, margin = F.col(f"num_{b}"), F.col(f"num_{b}_margin")
-        aggregates += [F.sum(total).alias(f"total_{b}"), moe_sum_agg(total, margin).alias(f"total_{b}_margin")]
-    sums = city_tracts.groupBy("place_geoid").agg(*aggregates)
-    new = {}
+        margin = moe_sum_agg(f"num_{b}", f"num_{b}_margin")
+        aggregates += [f"sum(num_{b}) AS total_{b}", f"{margin} AS total_{b}_margin"]
+    sums = city_tracts.groupBy("place_geoid").agg(*map(F.expr, aggregates))
+    new = []
     for name, num, denom in definitions:
         args = _ratio_args(num, denom)
-        new[name] = plain_percent(*args[:2])
-        new[f"{name}_margin"] = percent_margin(*args)
-    return sums.select(
-        F.col("place_geoid").alias("GEOID"),
-        *[c.alias(n) for n, c in new.items()],
-        *[F.col(f"total_{b}{s}").alias(f"num_{b}{s}") for b in baselines for s in ("", "_margin")],
-    )
+        new += [f"{plain_percent(*args[:2])} AS {name}", f"{percent_margin(*args)} AS {name}_margin"]
+    totals = [f"total_{b}{s} AS num_{b}{s}" for b in baselines for s in ("", "_margin")]
+    return sums.selectExpr("place_geoid AS GEOID", *new, *totals)
 
 
 def city_tables(tracts: DataFrame, tract_shapes: DataFrame, places: DataFrame) -> tuple[DataFrame, DataFrame]:

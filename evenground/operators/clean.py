@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenground.catalogs import NA_TOKENS
-from evenground.functions.margins import no_nan
 from evenground.spec import RESERVED_ID, DisparitySpec, Filter, input_name
 
 POINT_COLUMNS = ["dataset_id", "geo", "lon", "lat", "weight", "drop_reason", "row_error"]
@@ -47,7 +46,9 @@ def keep_input_id(df: DataFrame) -> DataFrame:
 
 
 def as_number(c: Column) -> Column:
-    return no_nan(c.try_cast("double"))
+    """Double, or NULL when the text is no number; NaN is missing too."""
+    value = c.try_cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def as_timestamp(c: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evenground.catalogs import NATION_BBOX, SHORT_DEMO, SHORT_GEO
 from evenground.functions.geometry import with_bounds
+from evenground.functions.margins import unpivot
 
 DIGITS = 5
 _GEO_KEEP = ("dataset_id", "GEOID", "disp_name", "NAME", "weighted_counts", "rings", "data_prop")
@@ -32,11 +33,8 @@ def short_demo(df: DataFrame, keep: Iterable[str] = ("dataset_id",)) -> DataFram
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(
-        *[
-            F.bround(F.col(f"`{n}`"), digits).alias(n) if t == "double" else F.col(f"`{n}`")
-            for n, t in df.dtypes
-        ]
+    return df.selectExpr(
+        *[f"bround(`{n}`, {digits}) AS `{n}`" if t == "double" else f"`{n}`" for n, t in df.dtypes]
     )
 
 
@@ -44,14 +42,10 @@ def column_bounds(short: DataFrame, keys: Iterable[str] = ("dataset_id",), digit
     """Long minimum and maximum of all short columns ``p_...`` and ``d...``."""
     keys = list(keys)
     names = [n for n, t in short.dtypes if t == "double" and (n.startswith("p_") or n.startswith("d")) and n not in keys]
-    wide = short.groupBy(*keys).agg(
-        *[f(F.col(n)).alias(f"{n}_{s}") for n in names for f, s in ((F.min, "min"), (F.max, "max"))]
-    )
-    rows = [
-        F.struct(F.lit(f"{n}_{s}").alias("bound"), F.bround(f"{n}_{s}", digits).alias("value"))
-        for n in names for s in ("min", "max")
-    ]
-    return wide.select(*keys, F.inline(F.array(*rows)))
+    both = [(n, f) for n in names for f in ("min", "max")]
+    wide = short.groupBy(*keys).agg(*[F.expr(f"{f}({n}) AS {n}_{f}") for n, f in both])
+    rows = [(f"'{n}_{f}'", f"bround({n}_{f}, {digits})") for n, f in both]
+    return wide.selectExpr(*keys, unpivot(rows, ("bound", "value")))
 
 
 def bounding_box(areas: DataFrame, keys: Iterable[str] = ("dataset_id",)) -> DataFrame:

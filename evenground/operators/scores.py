@@ -4,36 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenground.catalogs import BASELINES, PERCENTS, Z_90, Z_95
-from evenground.functions.margins import square
+from evenground.functions.margins import divide, square, unpivot
 from evenground.functions.names import baseline_population
 
 
-def geo_difference(share: Column, prop: Column) -> Column:
-    return F.bround(share, 3) - F.bround(prop, 3)
+def geo_difference(share: str, prop: str) -> str:
+    return f"bround({share}, 3) - bround({prop}, 3)"
 
 
-def geo_significant(share: Column, prop: Column, margin: Column, strict_se: bool = False) -> Column:
-    """TRUE when the share lies outside the 95 % band of the proportion.
+def geo_significant(share: str, prop: str, margin: str, strict_se: bool = False) -> str:
+    """True when the share lies outside the 95 % band of the proportion.
 
     The band is 1.96 margins wide on each side; ``strict_se`` turns margins
     into standard errors first.
     """
-    spread = Z_95 * (margin / Z_90 if strict_se else margin)
-    return F.coalesce((share <= prop - spread) | (share >= prop + spread), F.lit(False))
+    spread = f"{Z_95 / Z_90 if strict_se else Z_95}D * {margin}"
+    return f"coalesce({share} <= {prop} - {spread} OR {share} >= {prop} + {spread}, false)"
 
 
 def geo_scores(df: DataFrame, baselines: Iterable[str] = BASELINES, strict_se: bool = False) -> DataFrame:
     """Add ``diff_x`` and ``sig_diff_x`` for each baseline of a wide table."""
-    new = {}
+    new = []
     for b in baselines:
-        share, prop, margin = F.col("data_prop"), F.col(f"prop_{b}"), F.col(f"prop_{b}_margin")
-        new[f"diff_{b}"] = geo_difference(share, prop)
-        new[f"sig_diff_{b}"] = F.when(geo_significant(share, prop, margin, strict_se), "TRUE").otherwise("FALSE")
-    return df.withColumns(new)
+        significant = geo_significant("data_prop", f"prop_{b}", f"prop_{b}_margin", strict_se)
+        new.append(f"{geo_difference('data_prop', f'prop_{b}')} AS diff_{b}")
+        new.append(f"if({significant}, 'TRUE', 'FALSE') AS sig_diff_{b}")
+    return df.selectExpr("*", *new)
 
 
 def weighted_partials(tracts: DataFrame, keys: Sequence[str], percents: Iterable[str] = PERCENTS) -> DataFrame:
@@ -42,30 +42,29 @@ def weighted_partials(tracts: DataFrame, keys: Sequence[str], percents: Iterable
     They add up, so sums of sub-areas give those of the main area, and the
     tract rows are read once without being multiplied by the variables.
     """
-    w = F.col("weighted_counts")
-    sums = [F.sum(w).alias("w")]
+    sums = ["sum(weighted_counts) AS w"]
     for p in percents:
-        sums += [F.sum(w * F.col(p)).alias(p), F.sum(square(w * F.col(f"{p}_margin"))).alias(f"{p}_margin")]
-    return tracts.groupBy(*keys).agg(*sums)
+        spread = square(f"weighted_counts * {p}_margin")
+        sums += [f"sum(weighted_counts * {p}) AS {p}", f"sum({spread}) AS {p}_margin"]
+    return tracts.groupBy(*keys).agg(*map(F.expr, sums))
 
 
 def merge_partials(partials: DataFrame, keys: Sequence[str], percents: Iterable[str] = PERCENTS) -> DataFrame:
     names = ["w", *[c for p in percents for c in (p, f"{p}_margin")]]
-    return partials.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
+    return partials.groupBy(*keys).agg(*[F.expr(f"sum({n}) AS {n}") for n in names])
 
 
 def partials_long(partials: DataFrame, keys: Sequence[str], percents: Iterable[str] = PERCENTS) -> DataFrame:
     """(keys, census_var, data_value, data_value_sd)."""
-    zero = F.lit(0.0)
     rows = [
-        F.struct(
-            F.lit(p).alias("census_var"),
-            F.try_divide(F.coalesce(p, zero), F.col("w")).alias("data_value"),
-            (F.try_divide(F.sqrt(F.coalesce(f"{p}_margin", zero)), F.abs("w")) / Z_90).alias("data_value_sd"),
+        (
+            f"'{p}'",
+            divide(f"coalesce({p}, 0D)", "w"),
+            f"{divide(f'sqrt(coalesce({p}_margin, 0D))', 'abs(w)')} / {Z_90}D",
         )
         for p in percents
     ]
-    return partials.select(*keys, F.inline(F.array(*rows)))
+    return partials.selectExpr(*keys, unpivot(rows, ("census_var", "data_value", "data_value_sd")))
 
 
 def demo_scores(values: DataFrame, stats: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -75,15 +74,15 @@ def demo_scores(values: DataFrame, stats: DataFrame, on: Sequence[str]) -> DataF
     (on..., census_var, summary_value, summary_value_margin, names).  Without
     a margin there is no evidence, so the difference is not significant.
     """
-    diff = F.col("data_value") - F.col("summary_value")
-    known = F.col("summary_value_margin").isNotNull()
-    spread = F.sqrt(square(F.col("data_value_sd")) + square(F.col("summary_value_margin")))
-    significant = F.when(spread == 0, diff != 0).otherwise(F.abs(F.try_divide(diff, spread)) > Z_95)
+    spread = f"sqrt({square('data_value_sd')} + {square('summary_value_margin')})"
+    diff = "(data_value - summary_value)"
+    significant = f"CASE WHEN {spread} = 0 THEN {diff} != 0 ELSE abs({divide(diff, spread)}) > {Z_95} END"
+    known = "summary_value_margin IS NOT NULL"
     return values.join(stats, [*on, "census_var"]).withColumns(
         {
-            "diff_data_city": diff,
-            "sig_diff": F.coalesce(known & significant, F.lit(False)),
-            "data_value_sd": F.when(known, F.col("data_value_sd")),
+            "diff_data_city": F.expr(diff),
+            "sig_diff": F.expr(f"coalesce({known} AND {significant}, false)"),
+            "data_value_sd": F.expr(f"if({known}, data_value_sd, NULL)"),
             "baseline_pop": baseline_population(F.col("census_var")),
         }
     )

@@ -21,6 +21,8 @@ def local_session(cores: str = "8", app: str = "evenground", partitions: int = 8
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # call-site tracking costs several round trips per column operation
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("EVENGROUND_DRIVER_MEMORY", "12g"))
         .getOrCreate()
     )

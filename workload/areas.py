@@ -11,6 +11,7 @@ from evenground.operators.overlay import covered_tracts, overlap_area
 from evenground.operators.rollup import (
     attach_counts, complete_counts, point_share, roll_up, roll_up_all, sub_area_coverage, totals_differ,
 )
+from evenground.session import durable
 from workload.formulas import EXTRA, _rect
 from workload.points import place_shapes, tract_counts, tract_shapes, upper_shapes
 from workload.registry import query, r, settle
@@ -23,7 +24,8 @@ def datasets(spark, sf):
 
 def all_tracts(spark, sf):
     """Every tract of every dataset, counted; 0 where there is no point."""
-    counts = tract_counts(spark, sf)
+    # counted once, read twice
+    counts = durable(tract_counts(spark, sf))
     ids = counts.select("dataset_id").distinct()
     # datasets x areas is the shape of the result, not an intermediate
     areas = view(spark, sf, "fx_tract").withColumn("everywhere", F.lit(1)).join(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from evenground.operators.outputs import rounded
 from workload.views import sql
@@ -34,8 +33,8 @@ def settle(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round doubles, so that the order of a sum does not show."""
     out = rounded(df, digits)
     # bigint for counts, so that both engines agree on the type
-    return out.select(
-        *[F.col(n).cast("bigint").alias(n) if t in ("int", "smallint") else F.col(n) for n, t in out.dtypes]
+    return out.selectExpr(
+        *[f"CAST(`{n}` AS BIGINT) AS `{n}`" if t in ("int", "smallint") else f"`{n}`" for n, t in out.dtypes]
     )
 
 

@@ -35,13 +35,12 @@ def survey(spark, sf, level):
        f" {r(fm.safe_divide('num_pov', 'num_pop'), 'ratio')}, {r(fm.safe_divide('num_pop_margin', 'num_pop'), 'missing')},"
        f" {r(fm.safe_divide('num_pov', 'num_pop - num_pop'), 'over_zero')} FROM {{fx_tract}}")
 def safe_divide(spark, sf):
-    c = F.col
-    return settle(view(spark, sf, "fx_tract").select(
+    return settle(view(spark, sf, "fx_tract").selectExpr(
         "GEOID",
-        mg.safe_divide(c("num_pov") - c("num_pov"), c("num_children") - c("num_children")).alias("zero_zero"),
-        mg.safe_divide(c("num_pov"), c("num_pop")).alias("ratio"),
-        mg.safe_divide(c("num_pop_margin"), c("num_pop")).alias("missing"),
-        mg.safe_divide(c("num_pov"), c("num_pop") - c("num_pop")).alias("over_zero"),
+        f"{mg.safe_divide('(num_pov - num_pov)', '(num_children - num_children)')} AS zero_zero",
+        f"{mg.safe_divide('num_pov', 'num_pop')} AS ratio",
+        f"{mg.safe_divide('num_pop_margin', 'num_pop')} AS missing",
+        f"{mg.safe_divide('num_pov', '(num_pop - num_pop)')} AS over_zero",
     ))
 
 
@@ -65,7 +64,7 @@ _GROUPED = ["num_pov", "num_under18_pov_pop", "num_seniors"]
 def moe_sum_grouped(spark, sf):
     df = bl.fill_controlled(bl.rename_survey(view(spark, sf, "fx_landing_tract"), codes()))
     return settle(df.groupBy(F.substring("GEOID", 1, 5).alias("county")).agg(
-        *[c for n in _GROUPED for c in (F.sum(n).alias(n), mg.moe_sum_agg(F.col(n), F.col(f"{n}_margin")).alias(f"{n}_margin"))]
+        *[c for n in _GROUPED for c in (F.sum(n).alias(n), F.expr(mg.moe_sum_agg(n, f"{n}_margin")).alias(f"{n}_margin"))]
     ))
 
 
@@ -354,6 +353,6 @@ def custom_area_value(spark, sf):
        " SELECT 'demographic_dropped_any_values_negative_margin', var || '_margin' FROM {cd} WHERE em <= 0.5 AND neg UNION ALL"
        " SELECT 'demographic_missing_moe_columns', var FROM {cd} WHERE kept AND NOT moe_kept UNION ALL"
        " SELECT 'demographic_float_values', var FROM {cl} JOIN {cd} USING (var) WHERE em <= 0.5 AND coalesce(est, 0) <> floor(coalesce(est, 0)) AND coalesce(est, 0) <= pop GROUP BY var UNION ALL"
-       " SELECT 'demographic_float_values', var || '_margin' FROM {cl} JOIN {cd} USING (var) WHERE em <= 0.5 AND has_moe AND mm <= 0.5 AND moe <> floor(moe) GROUP BY var", _CU)
+       " SELECT 'demographic_float_values', var || '_margin' FROM {cl} JOIN {cd} USING (var) WHERE em <= 0.5 AND cd.has_moe AND mm <= 0.5 AND moe <> floor(moe) GROUP BY var", _CU)
 def custom_warnings(spark, sf):
     return cu.warnings(cu.profile(custom_long(spark, sf)), "demographic").drop("dataset_id")
