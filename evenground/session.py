@@ -61,6 +61,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a wide intermediate as a columnar table and read it back, so that
+    each later step reads only the columns it needs."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast a narrow table when a count shows that it is small.
 

@@ -176,7 +176,8 @@ def sql(text: str, extra: dict[str, str] | None = None) -> str:
 
     visit(text)
     plain = lambda t: _NAME.sub(lambda m: m.group(1), t)
-    ctes = ",\n".join(f"{n} AS ({plain(known[n])})" for n in order)
+    # many statements read a view several times
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({plain(known[n])})" for n in order)
     return (f"WITH {ctes}\n" if ctes else "") + plain(text)
 
 
