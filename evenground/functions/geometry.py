@@ -68,10 +68,11 @@ def with_bounds(rings: Column) -> Column:
 _ON_EDGE = 1 << 20
 
 
-def strictly_inside(edge_array: Column, x: Column, y: Column) -> Column:
+def strictly_inside(edge_array: Column, x: Column, y: Column, covered: Column | int = 0) -> Column:
     """Even-odd test; a point on an edge or vertex is not inside.
 
-    One pass: each edge adds one per crossing of the ray to the right, and a
+    ``covered`` is the number of rings known to hold the point, whose edges
+    are left out.  One pass: each edge adds one per crossing of the ray to the right, and a
     large even number when the point lies on it.
     """
 
@@ -88,7 +89,8 @@ def strictly_inside(edge_array: Column, x: Column, y: Column) -> Column:
             crosses, F.lit(1)
         ).otherwise(F.lit(0))
 
-    return F.aggregate(edge_array, F.lit(0), step, lambda t: (t < _ON_EDGE) & (t % 2 == 1))
+    start = F.lit(covered) if isinstance(covered, int) else covered
+    return F.aggregate(edge_array, start, step, lambda t: (t < _ON_EDGE) & (t % 2 == 1))
 
 
 def signed_ring_area(ring: Column) -> Column:

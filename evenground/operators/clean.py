@@ -47,8 +47,7 @@ def keep_input_id(df: DataFrame) -> DataFrame:
 
 def as_number(c: Column) -> Column:
     """Double, or NULL when the text is no number; NaN is missing too."""
-    value = c.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
 def as_timestamp(c: Column) -> Column:
@@ -72,9 +71,8 @@ def _midnight(text: str) -> Column:
     return F.to_timestamp(F.lit(text.strip()), "MM/dd/yyyy").cast("timestamp_ntz")
 
 
-def predicate(f: Filter) -> Column:
-    """Filter -> boolean column on the typed value."""
-    value = typed(_c(input_name(f.column)), f.kind)
+def predicate(f: Filter, value: Column) -> Column:
+    """Filter -> boolean column on its typed value."""
     text = str(f.value)
     if f.op == "singleDate":
         return value == _midnight(text)
@@ -99,14 +97,9 @@ def _order(f: Filter) -> int:
     return {"number": 0, "string": 1}.get(f.kind, 2) + ("," in str(f.value) and f.kind == "string")
 
 
-def all_filters(filters) -> Column:
-    ordered = sorted(filters, key=_order)
-    return reduce(operator.and_, [predicate(f) for f in ordered], F.lit(True))
-
-
-def _lost(raw: Column, value: Column) -> Column:
-    """The cast lost a value that was there."""
-    return raw.isNotNull() & value.isNull()
+def all_filters(filters, values: list[Column]) -> Column:
+    ordered = sorted(zip(filters, values, strict=True), key=lambda fv: _order(fv[0]))
+    return reduce(operator.and_, [predicate(f, v) for f, v in ordered], F.lit(True))
 
 
 def missing_columns(df: DataFrame, spec: DisparitySpec) -> list[str]:
@@ -125,36 +118,46 @@ def prepare_points(raw: DataFrame, spec: DisparitySpec) -> DataFrame:
     lost = missing_columns(df, spec)
     if lost:
         raise ValueError("; ".join(lost))
-    raw_lon, raw_lat = _c(input_name(spec.lon_column)), _c(input_name(spec.lat_column))
-    lon, lat = as_number(raw_lon), as_number(raw_lat)
+    raw = {"lon": _c(input_name(spec.lon_column)), "lat": _c(input_name(spec.lat_column))}
+    casts = {"lon": as_number(raw["lon"]), "lat": as_number(raw["lat"])}
     if spec.weight_column:
-        raw_weight = _c(input_name(spec.weight_column))
-        weight = as_number(raw_weight)
+        raw["weight"] = _c(input_name(spec.weight_column))
+        casts["weight"] = as_number(raw["weight"])
     else:
-        raw_weight = weight = F.lit(1.0)
-    filter_values = [(f, _c(input_name(f.column))) for f in spec.filters]
-    null_filter = reduce(operator.or_, [typed(c, f.kind).isNull() for f, c in filter_values], F.lit(False))
+        raw["weight"] = casts["weight"] = F.lit(1.0)
+    for i, f in enumerate(spec.filters):
+        raw[f"f{i}"] = _c(input_name(f.column))
+        casts[f"f{i}"] = typed(raw[f"f{i}"], f.kind)
+    dataset = _c(spec.dataset_column).cast("string") if spec.dataset_column else F.lit(spec.dataset_id)
+    # a generator is evaluated once per row; as plain columns the casts would
+    # be repeated in every condition below and in filters pushed towards the scan
+    typed_rows = df.select(F.inline(F.array(F.struct(
+        dataset.alias("dataset_id"),
+        *[c.alias(n) for n, c in casts.items()],
+        *[r.isNotNull().alias(f"has_{n}") for n, r in raw.items()],
+    ))))
 
+    def lost(name: str) -> Column:
+        """The cast lost a value that was there."""
+        return F.col(f"has_{name}") & F.col(name).isNull()
+
+    lon, lat, weight = F.col("lon"), F.col("lat"), F.col("weight")
+    values = [F.col(f"f{i}") for i in range(len(spec.filters))]
+    null_filter = reduce(operator.or_, [v.isNull() for v in values], F.lit(False))
     reason = (
         F.when(lon.isNull() | lat.isNull(), F.lit("null_latlon"))
         .when(null_filter, F.lit("null_filter"))
         .when(weight.isNull() | (weight == 0), F.lit("null_weight"))
-        .when(~F.coalesce(all_filters(spec.filters), F.lit(False)), F.lit("filtered"))
+        .when(~F.coalesce(all_filters(spec.filters, values), F.lit(False)), F.lit("filtered"))
     )
     error = F.when(
-        _lost(raw_lon, lon) | _lost(raw_lat, lat), F.lit("lat_lon_cannot_be_converted_numeric")
-    ).when(_lost(raw_weight, weight), F.lit("weight_coltypes_mismatch"))
-    for f, c in filter_values:
-        error = error.when(_lost(c, typed(c, f.kind)), F.lit(f"filter_coltypes_mismatch:{f.column}"))
-    dataset = _c(spec.dataset_column).cast("string") if spec.dataset_column else F.lit(spec.dataset_id)
-    return df.select(
-        dataset.alias("dataset_id"),
-        F.lit(spec.geo).alias("geo"),
-        lon.alias("lon"),
-        lat.alias("lat"),
-        weight.alias("weight"),
-        reason.alias("drop_reason"),
-        error.alias("row_error"),
+        lost("lon") | lost("lat"), F.lit("lat_lon_cannot_be_converted_numeric")
+    ).when(lost("weight"), F.lit("weight_coltypes_mismatch"))
+    for i, f in enumerate(spec.filters):
+        error = error.when(lost(f"f{i}"), F.lit(f"filter_coltypes_mismatch:{f.column}"))
+    return typed_rows.select(
+        "dataset_id", F.lit(spec.geo).alias("geo"), "lon", "lat", "weight",
+        reason.alias("drop_reason"), error.alias("row_error"),
     )
 
 

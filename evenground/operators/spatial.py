@@ -63,9 +63,13 @@ def _cell_no(c: Column, cell: float) -> Column:
     return F.floor(c * (1.0 / cell)).cast("int")
 
 
-def _polygon_edges(polygons: DataFrame, id_column: str) -> DataFrame:
-    return polygons.select(
-        F.col(id_column).alias("poly_id"), F.inline(with_bounds(F.col("rings")))
+def _ring_edges(polygons: DataFrame, id_column: str) -> DataFrame:
+    """One row per ring.  A point is in a polygon when an odd number of its
+    rings hold it, so rings can be indexed apart: parts that lie far from each
+    other then do not reach into each other's cells."""
+    rings = polygons.select(F.col(id_column).alias("poly_id"), F.posexplode("rings").alias("ring", "points"))
+    return rings.select(
+        "poly_id", "ring", F.inline(with_bounds(F.array("points")))
     ).where(F.size("edges") > 0)
 
 
@@ -74,15 +78,15 @@ def measure_grid(polygons: DataFrame, id_column: str = "GEOID", cells_per_side:
     """Cell size and an upper bound of the index entries, from one aggregate.
 
     An edge of height h reaches into at most h/cell + 2 rows, and a row of a
-    polygon of width w has at most w/cell + 2 cells; summed over all edges
-    this is a polynomial in 1/cell with four sums as coefficients.  The cell
-    is the power of two next to the median polygon side over
+    ring of width w has at most w/cell + 2 cells; summed over all edges this
+    is a polynomial in 1/cell with four sums as coefficients.  The cell is the
+    power of two next to the median ring side over
     ``cells_per_side``, made coarser while the index would be too large.
     """
     height = F.aggregate("edges", F.lit(0.0), lambda s, e: s + F.abs(e.y2 - e.y1))
     side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
     row = (
-        _polygon_edges(polygons, id_column)
+        _ring_edges(polygons, id_column)
         .select(side.alias("side"), F.size("edges").alias("n"), height.alias("h"), (F.col("xmax") - F.col("xmin")).alias("w"))
         .agg(
             F.percentile_approx("side", 0.5).alias("side"), F.sum(F.col("h") * F.col("w")).alias("hw"),
@@ -107,8 +111,8 @@ def cell_index(polygons: DataFrame, id_column: str = "GEOID", **grid) -> CellInd
     cell, n_entries = measure_grid(polygons, id_column, **grid)
     low_x, high_x = F.least("x1", "x2"), F.greatest("x1", "x2")
     low_y, high_y = F.least("y1", "y2"), F.greatest("y1", "y2")
-    per_edge = _polygon_edges(polygons, id_column).select(
-        "poly_id", _cell_no(F.col("xmin"), cell).alias("first_cx"), F.inline("edges")
+    per_edge = _ring_edges(polygons, id_column).select(
+        "poly_id", "ring", _cell_no(F.col("xmin"), cell).alias("first_cx"), F.inline("edges")
     )
     per_row = per_edge.select(
         "*", F.explode(F.sequence(_cell_no(low_y, cell), _cell_no(high_y, cell))).alias("cy")
@@ -120,20 +124,23 @@ def cell_index(polygons: DataFrame, id_column: str = "GEOID", **grid) -> CellInd
         (low_x < (F.col("cx") + 1) * cell) & (high_x >= F.col("cx") * cell)
         & (low_y < (F.col("cy") + 1) * cell) & (high_y >= F.col("cy") * cell)
     )
-    # one shuffle by cell serves both groupings
-    candidates = per_cell.repartition("cx", "cy").groupBy("cx", "cy", "poly_id").agg(
+    # one shuffle by cell serves all three groupings
+    rings = per_cell.repartition("cx", "cy").groupBy("cx", "cy", "poly_id", "ring").agg(
         F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
         F.max(border).alias("border"),
     )
-    centre_inside = strictly_inside(
+    covers = ~F.col("border") & strictly_inside(
         F.col("edges"), (F.col("cx") + 0.5) * cell, (F.col("cy") + 0.5) * cell
     )
-    kept = candidates.where(F.col("border") | centre_inside).select(
-        "cx", "cy", F.struct(
-            "poly_id", F.when(F.col("border"), F.col("edges")).otherwise(F.slice("edges", 1, 0)).alias("edges")
-        ).alias("candidate"),
+    candidates = rings.select("*", covers.alias("covers")).groupBy("cx", "cy", "poly_id").agg(
+        F.flatten(F.collect_list(F.when(F.col("border"), F.col("edges")))).alias("edges"),
+        F.count_if("covers").cast("int").alias("covered"),
+    )
+    table = (
+        candidates.where((F.size("edges") > 0) | (F.col("covered") % 2 == 1))
+        .groupBy("cx", "cy")
+        .agg(F.collect_list(F.struct("poly_id", "edges", "covered")).alias("candidates"))
     )
-    table = kept.groupBy("cx", "cy").agg(F.collect_list("candidate").alias("candidates"))
     return CellIndex(table, cell, n_entries * ENTRY_BYTES)
 
 
@@ -184,7 +191,7 @@ def point_in_polygon(points: DataFrame, index: CellIndex, id_name: str = "GEOID"
     """
     found = F.filter(
         "candidates",
-        lambda c: (F.size(c.edges) == 0) | strictly_inside(c.edges, F.col("lon"), F.col("lat")),
+        lambda c: (F.size(c.edges) == 0) | strictly_inside(c.edges, F.col("lon"), F.col("lat"), c.covered),
     )
     joined = _lookup(points, index, broadcast_bytes, rows_per_task)
     return (
