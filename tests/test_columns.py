@@ -145,9 +145,20 @@ def test_sample_is_repeatable_and_keeps_small_sets(spark):
     assert first.exceptAll(again).count() == 0
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    spark.conf.set("spark.checkpoint.dir", "/tmp/somewhere-shared")
-    try:
-        assert shared_dir(spark) == "/tmp/somewhere-shared"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+class _Session:
+    """Just what the folder lookup reads."""
+
+    def __init__(self, configured, master):
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+        self.sparkContext = self
+        self.master = master
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_dir(_Session("/shared/folder", "yarn")) == "/shared/folder"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_Session(None, "yarn"))
+    assert shared_dir(_Session(None, "local[2]")).startswith("/tmp/")
