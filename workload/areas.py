@@ -26,12 +26,15 @@ def all_tracts(spark, sf):
     """Every tract of every dataset, counted; 0 where there is no point."""
     # counted once, read twice
     counts = durable(tract_counts(spark, sf))
-    ids = counts.select("dataset_id").distinct()
-    # datasets x areas is the shape of the result, not an intermediate
-    areas = view(spark, sf, "fx_tract").withColumn("everywhere", F.lit(1)).join(
-        ids.withColumn("everywhere", F.lit(1)), "everywhere"
-    ).drop("everywhere")
-    return complete_counts(areas, counts)
+    areas = view(spark, sf, "fx_tract")
+    return complete_counts(areas.select("*", every_dataset(counts)), counts)
+
+
+def every_dataset(counts):
+    """One row per dataset for each area: the shape of the result.  The short
+    list of datasets is a scalar, so the areas are not shuffled."""
+    ids = counts.agg(F.array_sort(F.collect_set("dataset_id"))).scalar()
+    return F.explode(ids).alias("dataset_id")
 
 
 _ALL = {
@@ -93,9 +96,7 @@ def totals_agree(spark, sf):
 def _states_with_counts(spark, sf):
     states = view(spark, sf, "fx_states").select(F.col("state_code").alias("GEOID"), F.concat("state_name", F.lit(", X")).alias("disp_name"), "region_name")
     rolled = roll_up(all_tracts(spark, sf), 2)
-    ids = rolled.select("dataset_id").distinct().withColumn("everywhere", F.lit(1))
-    areas = states.withColumn("everywhere", F.lit(1)).join(ids, "everywhere").drop("everywhere")
-    return attach_counts(areas, rolled)
+    return attach_counts(states.select("*", every_dataset(rolled)), rolled)
 
 
 _STATE = {
