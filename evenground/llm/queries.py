@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from evenground.llm.simhash import near_duplicates
+from evenground.llm.quality import quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@_query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    out = quality(_table(spark, sf_dir, "documents"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return out.select("doc_id", *[f"m.{c}" for c in base], "m.class_js", "m.word_js")
