@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from evenground.llm.simhash import near_duplicates
 from evenground.llm.quality import quality
+from evenground.llm.secrets import secret_spans, span_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +36,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality(_table(spark, sf_dir, "documents"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return out.select("doc_id", *[f"m.{c}" for c in base], "m.class_js", "m.word_js")
+
+
+@_query
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of base matches, their digest and all spans of every document."""
+    out = secret_spans(_table(spark, sf_dir, "documents"))
+    number = lambda k: F.size(F.filter("spans", lambda s: s["rank"] == k)).cast("long")
+    return out.select(
+        "doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+        F.sha2(span_text(F.filter("spans", lambda s: s["rank"] < 3)), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"))
