@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from evenground.llm.simhash import near_duplicates
 from evenground.llm.quality import quality
 from evenground.llm.secrets import secret_spans, span_text
+from evenground.llm.tiling import decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +48,12 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
         F.sha2(span_text(F.filter("spans", lambda s: s["rank"] < 3)), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"))
+
+
+@_query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that each document holds for the greater part."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+    return out.select("row_.doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items",
+                      F.round("max_coverage", 6).alias("max_coverage"), F.col("first_item").alias("item_id"))
