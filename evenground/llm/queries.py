@@ -11,6 +11,7 @@ from evenground.llm.simhash import near_duplicates
 from evenground.llm.quality import quality
 from evenground.llm.secrets import secret_spans, span_text
 from evenground.llm.tiling import decontaminate
+from evenground.llm.lines import line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +58,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     out = decontaminate(docs, _table(spark, sf_dir, "benchmark"))
     return out.select("row_.doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items",
                       F.round("max_coverage", 6).alias("max_coverage"), F.col("first_item").alias("item_id"))
+
+
+@_query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, lines deleted, digest of what is left."""
+    out = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row_.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
