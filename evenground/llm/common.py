@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +64,8 @@ def components(edges: DataFrame) -> DataFrame:
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("a")).first()
     return tuple(row)
+
+
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the public tokenizers; the folder is a setting."""
+    return os.path.join(os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers"), name)

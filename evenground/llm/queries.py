@@ -7,16 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from evenground.llm.common import tokenizer_file
 from evenground.llm.simhash import near_duplicates
 from evenground.llm.quality import quality
 from evenground.llm.secrets import secret_spans, span_text
 from evenground.llm.tiling import decontaminate
 from evenground.llm.lines import line_dedup
+from evenground.llm.pieces import sampled_pieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def _query(f):
     QUERIES[f.__name__] = f
     return f
@@ -26,6 +33,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 @_query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
@@ -65,3 +78,9 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, lines deleted, digest of what is left."""
     out = line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row_.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
+@_query
+def op8_sentencepiece_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and checksum of the sampled pieces, and that they decode to the text."""
+    return sampled_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), ids=False)
