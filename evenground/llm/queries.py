@@ -15,6 +15,7 @@ from evenground.llm.secrets import secret_spans, span_text
 from evenground.llm.tiling import decontaminate
 from evenground.llm.lines import line_dedup
 from evenground.llm.pieces import sampled_pieces
+from evenground.llm.html import extract
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +85,9 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and checksum of the sampled pieces, and that they decode to the text."""
     return sampled_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), ids=False)
+
+
+@_query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(_table(spark, sf_dir, "pages"))
