@@ -16,6 +16,7 @@ from evenground.llm.tiling import decontaminate
 from evenground.llm.lines import line_dedup
 from evenground.llm.pieces import sampled_pieces
 from evenground.llm.html import extract
+from evenground.llm import tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +92,11 @@ def op8_sentencepiece_encoding_and_decoding(spark: SparkSession, sf_dir: str) ->
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op5_token_id_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the files."""
+    path = tokenfile.new_folder(spark)
+    tokenfile.write(_table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"), end=2)
+    return tokenfile.read(spark, path, ids=False).withColumnRenamed("key", "doc_id")
