@@ -17,6 +17,7 @@ from evenground.llm.lines import line_dedup
 from evenground.llm.pieces import sampled_pieces
 from evenground.llm.html import extract
 from evenground.llm import tokenfile
+from evenground.llm.backoff import score_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +101,10 @@ def op5_token_id_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenfile.new_folder(spark)
     tokenfile.write(_table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"), end=2)
     return tokenfile.read(spark, path, ids=False).withColumnRenamed("key", "doc_id")
+
+
+@_query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of those whose checksum is not 2 of 7."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return score_texts(_table(spark, sf_dir, "documents"), held_out=held_out)
