@@ -1,6 +1,6 @@
 """Quality rules by distribution divergence, in built-in functions only.
 
-Each language of the corpus has a reference: the shares of eight classes of
+Each language of the corpus has a reference: the shares of seven classes of
 characters and the shares of its most common words, both over all its
 documents.  A document is compared with the reference of its language by
 Jensen-Shannon distance (base 2, 0 to 1).  Short documents have noisy
@@ -18,15 +18,14 @@ from evenground.session import written
 
 # classes of characters; all others are the last class
 CLASSES = {
-    "vowels": "[aeiou]",
-    "consonants": "[b-df-hj-np-tv-z]",
+    "small": "[a-z]",
     "capitals": "[A-Z]",
     "digits": "[0-9]",
     "space": "[\\x20\\x09-\\x0D]",
     "points": "[.,;:!?'\"()-]",
     "symbols": "[#*$%&|<>@/\\\\_=+~^{}`\\[\\]]",
 }
-COMMON_WORDS = 40
+COMMON_WORDS = 24
 WINDOW = 5
 
 
@@ -44,26 +43,34 @@ def _repeated_words(words: Column) -> Column:
         return bind(starts, lambda p: _sum(F.transform(
             p, lambda x, k: F.coalesce(F.least(F.get(p, k + 1) - x, F.lit(WINDOW)), F.lit(WINDOW)).cast("long"))))
 
-    def windows(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW),
-                           lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(WINDOW)]))
+    def windows(w: Column, join) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), lambda i: join(*[F.get(w, i + k) for k in range(WINDOW)]))
 
-    def count(g: Column) -> Column:
-        pairs = F.array_sort(F.transform(g, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0).cast("long")).otherwise(bind(pairs, detail))
+    def count(h: Column) -> Column:
+        # equal windows have equal hashes; the windows themselves are only
+        # compared where two hashes are equal
+        texts = windows(words, lambda *w: F.concat_ws(" ", *w))
+        pairs = F.array_sort(F.transform(texts, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(bind(pairs, detail))
 
-    return F.when(F.size(words) < WINDOW, F.lit(0).cast("long")).otherwise(bind(windows(words), count))
+    return F.when(F.size(words) < WINDOW, F.lit(0).cast("long")).otherwise(bind(windows(words, F.xxhash64), count))
 
 
 def base_measures(text: Column) -> dict[str, Column]:
     """Measures of one text; NULL counts as empty."""
     text = F.coalesce(text.cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    classes = [(F.length(text) - F.length(F.regexp_replace(text, f"{c}+", ""))).cast("long") for c in CLASSES.values()]
+    removed = lambda t, pattern: (F.length(t) - F.length(F.regexp_replace(t, f"{pattern}+", ""))).cast("long")
+    first, *others = CLASSES.values()
+
+    def rest_of(rest: Column) -> Column:
+        small = (F.length(text) - F.length(rest)).cast("long")
+        return F.struct(F.array(small, *[removed(rest, c) for c in others]).alias("classes"), removed(rest, "[#*$%&|<>]").alias("symbols"))
+
     return {
         "chars_": F.length(text).cast("long"),
-        "classes_": F.array(*classes),
-        "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]+", ""))).cast("long"),
+        # all other classes are counted in what is left without the first
+        "c_": bind(F.regexp_replace(text, f"{first}+", ""), rest_of),
         "n_dup_lines": bind(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
     }
 
@@ -103,9 +110,10 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", common:
     top = top.groupBy("lang_", "all_").agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
     table = top.join(totals, (top["lang_"].eqNullSafe(totals["lang_"])) & (top["all_"] == totals["all_"])).select(
         top["lang_"], "top", "total")
-    measured = plain.select("lang_", F.length("text_").cast("long").alias("chars_"), base_measures(F.col("text_"))["classes_"].alias("c"))
+    measured = plain.select("lang_", F.length("text_").cast("long").alias("chars_"), base_measures(F.col("text_"))["c_"]["classes"].alias("c"))
     sums = measured.groupBy("lang_").agg(F.sum("chars_").alias("chars"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(CLASSES))])
     names = ["chars", *(f"c{i}" for i in range(len(CLASSES)))]
+    sums = written(sums, "classes")
     sums = sums.where("lang_ IS NOT NULL").unionByName(
         sums.agg(*[F.sum(n).alias(n) for n in names]).withColumn("lang_", F.lit(None).cast("string")))
     classes = F.array(*[F.col(f"c{i}") for i in range(len(CLASSES))])
@@ -152,16 +160,17 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataF
                 F.array((F.size(w) - F.size(found)).cast("long")))
             return divergence(bins, F.col("r.word_shares"))
 
-        found = F.filter(w, lambda x: F.array_contains(F.col("r.common_words"), x))
+        longest = F.array_max(F.transform(F.col("r.common_words"), F.length))
+        found = bind(longest, lambda n: F.filter(F.filter(w, lambda x: F.length(x) <= n), lambda x: F.array_contains(F.col("r.common_words"), x)))
         return F.struct(
             F.size(w).cast("long").alias("n_words"), _repeated_words(w).alias("n_repeat_words"),
             F.when(F.size(w) >= least_words, bind(found, words_js)).alias("word_js"))
 
     rows = rows.select("row_", "r", *[c.alias(n) for n, c in base.items()], bind(words_of(F.col("text_")), of_words).alias("w"))
-    class_js = F.when(F.col("chars_") >= least_chars, divergence(_histogram(F.col("chars_"), F.col("classes_")), F.col("r.class_shares")))
+    class_js = F.when(F.col("chars_") >= least_chars, divergence(_histogram(F.col("chars_"), F.col("c_.classes")), F.col("r.class_shares")))
     rows = rows.select(
-        "row_", F.col("w.n_words").alias("n_words"), (F.col("chars_") - F.col("classes_")[list(CLASSES).index("space")]).alias("word_chars"),
-        "n_symbols", "n_dup_lines", F.col("w.n_repeat_words").alias("n_repeat_words"), class_js.alias("class_js"), F.col("w.word_js").alias("word_js"))
+        "row_", F.col("w.n_words").alias("n_words"), (F.col("chars_") - F.col("c_.classes")[list(CLASSES).index("space")]).alias("word_chars"),
+        F.col("c_.symbols").alias("n_symbols"), "n_dup_lines", F.col("w.n_repeat_words").alias("n_repeat_words"), class_js.alias("class_js"), F.col("w.word_js").alias("word_js"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     far = (F.coalesce(F.col("class_js"), F.lit(0.0)) > class_limit) | (
         F.coalesce(F.col("word_js"), F.lit(0.0)) > word_limit + word_noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)).cast("double")))
