@@ -18,6 +18,7 @@ from evenground.llm.pieces import sampled_pieces
 from evenground.llm.html import extract
 from evenground.llm import tokenfile
 from evenground.llm.backoff import score_texts
+from evenground.llm.suffixes import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +109,9 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model of those whose checksum is not 2 of 7."""
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
     return score_texts(_table(spark, sf_dir, "documents"), held_out=held_out)
+
+
+@_query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document under strings of 400 bytes that stand elsewhere."""
+    return remove_repeats(_table(spark, sf_dir, "documents"))
