@@ -27,10 +27,6 @@ DEFAULT_YEAR = "2022"
 Z_90 = 1.645
 Z_95 = 1.96
 
-# Area detection samples 5 % of datasets above 50 rows.
-SAMPLE_SHARE = 0.05
-SAMPLE_ABOVE = 50
-
 # A tract belongs to a city when more than 1 % is covered.
 COVERED_SHARE = 0.01
 

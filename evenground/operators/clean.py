@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenground.catalogs import NA_TOKENS
-from evenground.spec import RESERVED_ID, DisparitySpec, Filter, input_name
+from evenground.spec import DisparitySpec, Filter, RESERVED_ID, filter_date, input_name
 
 POINT_COLUMNS = ["dataset_id", "geo", "lon", "lat", "weight", "drop_reason", "row_error"]
 REASONS = ("null_latlon", "null_filter", "null_weight", "filtered")
@@ -46,8 +46,10 @@ def keep_input_id(df: DataFrame) -> DataFrame:
 
 
 def as_number(c: Column) -> Column:
-    """Double, or NULL when the text is no number; NaN is missing too."""
-    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
+    """Double, or NULL when the text is no number; NaN and infinity are
+    missing too."""
+    number = F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def as_timestamp(c: Column) -> Column:
@@ -68,7 +70,7 @@ def typed(c: Column, kind: str) -> Column:
 
 
 def _midnight(text: str) -> Column:
-    return F.to_timestamp(F.lit(text.strip()), "MM/dd/yyyy").cast("timestamp_ntz")
+    return F.lit(filter_date(text).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def predicate(f: Filter, value: Column) -> Column:

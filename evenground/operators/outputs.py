@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenground.catalogs import NATION_BBOX, SHORT_DEMO, SHORT_GEO
-from evenground.functions.geometry import with_bounds
+from evenground.functions.geometry import with_bounds, RING_TYPE, signed_ring_area
 from evenground.functions.margins import unpivot
 
 DIGITS = 5
@@ -96,8 +96,18 @@ def _closed(ring: Column) -> Column:
 
 
 def geometry_struct(rings: Column) -> Column:
-    """GeoJSON geometry: each ring becomes a polygon of a multipolygon."""
-    coordinates = F.transform(rings, lambda r: F.array(F.transform(_closed(r), lambda p: F.array(p.x, p.y))))
+    """GeoJSON geometry of normalised rings: a ring that turns clockwise is a
+    hole of the outer ring before it."""
+
+    def placed(parts: Column, ring: Column) -> Column:
+        own = F.concat(parts, F.array(F.array(ring)))
+        hole = F.concat(F.element_at(parts, -1), F.array(ring))
+        before = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
+        return F.when((F.size(parts) == 0) | (signed_ring_area(ring) >= 0), own).otherwise(F.concat(before, F.array(hole)))
+
+    parts = F.aggregate(rings, F.array().cast(f"array<{RING_TYPE}>"), placed)
+    points = lambda r: F.transform(_closed(r), lambda p: F.array(p.x, p.y))
+    coordinates = F.transform(parts, lambda part: F.transform(part, points))
     return F.struct(F.lit("MultiPolygon").alias("type"), coordinates.alias("coordinates"))
 
 

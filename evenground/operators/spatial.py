@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from evenground.catalogs import NATION_GEOID, NATION_NAME, SAMPLE_ABOVE, SAMPLE_SHARE
+from evenground.catalogs import NATION_GEOID, NATION_NAME
 from evenground.functions.geometry import strictly_inside, with_bounds
 from evenground.operators.clean import usable
 from evenground.session import durable, small_side
@@ -32,6 +32,7 @@ from evenground.session import durable, small_side
 CELLS_PER_SIDE = 4
 MAX_ENTRIES = 400_000_000
 ENTRY_BYTES = 160
+FAR = 2.0**52
 BROADCAST_BYTES = 512 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
 
@@ -59,8 +60,10 @@ class CellIndex:
 
 
 def _cell_no(c: Column, cell: float) -> Column:
-    # cell sizes are powers of two, so the product is exact
-    return F.floor(c * (1.0 / cell)).cast("int")
+    # cell sizes are powers of two, so the product is exact; a number too far
+    # away for any polygon has no cell
+    number = c * (1.0 / cell)
+    return F.when(F.abs(number) < FAR, F.floor(number))
 
 
 def _ring_edges(polygons: DataFrame, id_column: str) -> DataFrame:
@@ -163,6 +166,9 @@ def _lookup(points: DataFrame, index: CellIndex, broadcast_bytes: int, rows_per_
     )
     if index.bytes_bound <= broadcast_bytes:
         return placed.join(F.broadcast(index.table), ["cx", "cy"], "left")
+    if points.isStreaming:
+        # a micro-batch is small; an aggregate of the stream can't be joined to it
+        return placed.join(index.table.hint("shuffle_hash"), ["cx", "cy"], "left")
     hot = F.broadcast(_hot_cells(placed, rows_per_task))
     # null cells (rows that are not joined) and hot cells spread by row hash
     row_hash = F.xxhash64(*[F.col(c) for c in points.columns])
@@ -225,10 +231,13 @@ def weighted_counts(points: DataFrame, index: CellIndex, keys: Sequence[str] = (
     )
 
 
-def sampled(points: DataFrame, sizes: DataFrame | None, share: float = SAMPLE_SHARE,
-            above: int = SAMPLE_ABOVE, key: Sequence[str] = ("lon", "lat", "weight")) -> DataFrame:
+def sampled(points: DataFrame, sizes: DataFrame | None, share: float,
+            above: int = 0, key: Sequence[str] = ("lon", "lat", "weight")) -> DataFrame:
     """Repeatable sample of the datasets with more than ``above`` rows.
 
+    All rows of a place are drawn or none, so the sample of a dataset may be
+    empty; nothing draws one unless it is asked to.
+
     ``sizes`` (dataset_id, n_rows) names the small datasets, which stay whole.
     """
     bucket = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key])), 1, 8), 16, 10)
@@ -316,24 +325,17 @@ def oriented_points(points: DataFrame, detected: DataFrame) -> DataFrame:
 
 
 def detect_areas(points: DataFrame, levels: dict[str, tuple[CellIndex, DataFrame]],
-                 accounting: DataFrame | None = None, share: float | None = SAMPLE_SHARE) -> DataFrame:
+                 accounting: DataFrame | None = None) -> DataFrame:
     """Area of every dataset: (dataset_id, geo, denom_geoid, g_disp, flipped ...).
 
     ``levels`` maps a level to its index and its (GEOID, cleaned_name) table.
+    All rows are looked up, once, and added up before the choice.
     """
     rows = usable(points)
     ids = (accounting if accounting is not None else points).select("dataset_id", "geo").distinct()
     parts = [
         national_area(ids.where(F.col("geo") == "national")).withColumn("geo", F.lit("national"))
     ]
-    if share is not None:
-        sizes = None
-        if accounting is not None:
-            sizes = (
-                accounting.where("drop_reason is null and row_error is null")
-                .groupBy("dataset_id").agg(F.sum("n_rows").alias("n_rows"))
-            )
-        rows = sampled(rows, sizes, share)
     for level, (index, areas) in levels.items():
         found = dominant_area(area_hits(rows.where(F.col("geo") == level), index), areas)
         parts.append(found.withColumn("geo", F.lit(level)))

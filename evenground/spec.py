@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from evenground.catalogs import DEFAULT_YEAR, LEVELS, YEARS
 
@@ -12,6 +14,12 @@ from evenground.catalogs import DEFAULT_YEAR, LEVELS, YEARS
 RESERVED_ID = "GEOID_input"
 
 BAD_SPEC = "form_data_parameter_validation_failed"
+BAD_FILTER = "filter_value_not_valid"
+
+
+def filter_date(text: str) -> datetime:
+    """Date of a filter, written mm/dd/yyyy."""
+    return datetime.strptime(text.strip(), "%m/%d/%Y")
 
 
 def input_name(column: str | None) -> str | None:
@@ -31,6 +39,18 @@ class Filter:
     op: str
     value: str | int | float
 
+    @property
+    def sound(self) -> bool:
+        """The value can be read as its kind; a bad one is reported for its
+        dataset before any job runs."""
+        try:
+            if self.op in ("singleDate", "dateRange"):
+                dates = str(self.value).split("-") if self.op == "dateRange" else [str(self.value)]
+                return len([filter_date(d) for d in dates]) == 1 + (self.op == "dateRange")
+            return self.kind != "number" or math.isfinite(float(self.value))
+        except (TypeError, ValueError):
+            return False
+
     @classmethod
     def from_form(cls, form: Mapping) -> Filter:
         return cls(
@@ -93,7 +113,9 @@ class DisparitySpec:
 
     def problems(self) -> list[str]:
         missing = not (self.lat_column and self.lon_column and self.geo)
-        return [BAD_SPEC] if missing or self.geo not in LEVELS else []
+        if missing or self.geo not in LEVELS:
+            return [BAD_SPEC]
+        return [f"{BAD_FILTER}:{f.column}" for f in self.filters if not f.sound]
 
     def required_columns(self) -> dict[str, list[str]]:
         """Error name -> columns that must be present."""

@@ -2,6 +2,8 @@
 
 import math
 
+import tempfile
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,7 +141,7 @@ def test_custom_columns_are_dropped_clamped_and_kept(spark):
 def test_sample_is_repeatable_and_keeps_small_sets(spark):
     points = spark.range(4000).selectExpr("if(id < 40, 's', 'l') AS dataset_id", "id / 7D AS lon", "id / 3D AS lat", "1D AS weight")
     sizes = points.groupBy("dataset_id").agg(F.count("*").alias("n_rows"))
-    first, again = sampled(points, sizes), sampled(points.repartition(5), sizes)
+    first, again = sampled(points, sizes, 0.05, 50), sampled(points.repartition(5), sizes, 0.05, 50)
     n = {r[0]: r[1] for r in first.groupBy("dataset_id").count().collect()}
     assert n["s"] == 40 and 100 < n["l"] < 320
     assert first.exceptAll(again).count() == 0
@@ -161,4 +163,4 @@ def test_shared_folder_comes_from_the_session():
     assert shared_dir(_Session("/shared/folder", "yarn")) == "/shared/folder"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(_Session(None, "yarn"))
-    assert shared_dir(_Session(None, "local[2]")).startswith("/tmp/")
+    assert shared_dir(_Session(None, "local[2]")).startswith(tempfile.gettempdir())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evenground.functions.geometry import area
+from evenground.functions.geometry import area, box_rings, normalised
 from evenground.operators.clean import prepare_points, row_accounting, row_counters
 from evenground.operators.impute import impute_fallback, impute_mean, prepare_housing, prepare_libraries
 from evenground.operators import baseline as bl
@@ -57,6 +57,19 @@ def encoding_fallback(spark, sf):
     )
 
 
+@query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN p_name || chr(10) || p_brand ELSE p_name END AS name, " + r("p_retailprice", "price", 2) + " FROM {part}")
+def csv_records(spark, sf):
+    """Quoted line breaks, and two orders of columns in one folder."""
+    path = fresh_path(spark, "records")
+    p = view(spark, sf, "part").selectExpr(
+        "p_partkey", "CASE WHEN p_partkey % 5 = 0 THEN concat_ws('\n', p_name, p_brand) ELSE p_name END AS name", "p_retailprice AS price")
+    # quotes in values are doubled, as the reader expects
+    for part, columns in ((0, ("p_partkey", "name", "price")), (1, ("price", "name", "p_partkey")), (2, ("name", "price", "p_partkey"))):
+        p.where(F.col("p_partkey") % 3 == part).select(*columns).write.mode("append").option("header", True).option("escape", '"').csv(path)
+    back = read_delimited(spark, path)
+    return settle(back.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "name", F.col("price").cast("double").alias("price")), 2)
+
+
 _CATALOG = {"cat": "SELECT CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_name END AS colnames,"
                    " CASE WHEN p_partkey % 7 = 0 THEN 'sum of below 4' ELSE p_brand END AS acs_vars,"
                    " CASE WHEN p_size > 25 THEN p_type ELSE NULL END AS notes FROM {part}"}
@@ -125,6 +138,19 @@ def geojson_features(spark, sf):
     return settle(rings.select("GEOID", area(F.col("rings")).alias("area"), F.size("rings").alias("n_rings")))
 
 
+@query(f"SELECT GEOID, {r('(x1 - x0) * (y1 - y0) * 1.75', 'area')}, 3 AS n_rings, 2 AS n_parts FROM {{fx_square}}")
+def geojson_holes(spark, sf):
+    """Areas of two parts, one with a hole, written and read back."""
+    path = fresh_path(spark, "holes")
+    x, y = lambda t: F.col("x0") + (F.col("x1") - F.col("x0")) * t, lambda t: F.col("y0") + (F.col("y1") - F.col("y0")) * t
+    box = lambda a, b: box_rings(x(a), y(a), x(b), y(b))[0]
+    parts = F.array(F.array(box(0.0, 1.0), box(0.25, 0.75)), F.array(box(2.0, 3.0)))
+    write_features(view(spark, sf, "fx_square").select("GEOID", normalised(parts).alias("rings")), path)
+    features = read_features(spark, path, lines=True)
+    back = polygon_rings(features, *property_columns(features, ["GEOID"]), F.size(F.from_json("coordinates", "array<string>")).alias("n_parts"))
+    return settle(back.select("GEOID", area(F.col("rings")).alias("area"), F.size("rings").alias("n_rings"), "n_parts"))
+
+
 @query("SELECT c_custkey, c_nationkey, " + r("c_acctbal / 100.0", "lon", 5) + ", " + r("c_nationkey", "lat", 5) + " FROM {customer}")
 def geojson_collection(spark, sf):
     """Feature collections of points, properties kept."""

@@ -248,7 +248,7 @@ def flipped_counts(spark, sf):
 def detection_sample(spark, sf):
     """The repeatable 5 % sample area detection works on."""
     return settle(
-        sampled(usable(points(spark, sf)), None)
+        sampled(usable(points(spark, sf)), None, 0.05)
         .groupBy("dataset_id").agg(F.count("*").alias("n"), F.sum("weight").alias("weight")), 2
     )
 
