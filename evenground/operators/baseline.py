@@ -158,7 +158,7 @@ def display_names(df: DataFrame, level: str, states: DataFrame, year: str) -> Da
         return df.withColumns({"disp_name": F.lit("US"), "disp_name_abbv": F.lit("US")})
     if level == "tract":
         return df.withColumns({"disp_name": name_part(F.col("NAME"), year, 1), "disp_name_abbv": F.lit("")})
-    known = F.broadcast(states.select("state_code", "state_abbv"))
+    known = states.select("state_code", "state_abbv")
     joined = df.withColumn("state_code", state_of(F.col("GEOID"))).join(known, "state_code", "left")
     if level == "state":
         return joined.withColumns({"disp_name": F.col("NAME"), "disp_name_abbv": F.col("state_abbv")}).drop(
@@ -225,7 +225,7 @@ def area_names(df: DataFrame, level: str, states: DataFrame) -> DataFrame:
     """(GEOID, cleaned_name) of counties or states."""
     if level == "state":
         return df.select("GEOID", district_name(F.col("NAME")).alias("cleaned_name"))
-    known = F.broadcast(states.select("state_code", "state_abbv"))
+    known = states.select("state_code", "state_abbv")
     return (
         df.withColumn("state_code", state_of(F.col("GEOID")))
         .join(known, "state_code", "left")
@@ -249,7 +249,7 @@ def big_places(places: DataFrame, populations: DataFrame, states: DataFrame,
     ``places`` (GEOID, NAMELSAD, rings), ``populations`` (GEOID, estimate).
     """
     big = populations.where((F.col("estimate") >= at_least) & in_states(state_of(F.col("GEOID")))).select("GEOID")
-    known = F.broadcast(states.select("state_code", "state_abbv"))
+    known = states.select("state_code", "state_abbv")
     return (
         merge_places(places).join(big, "GEOID", "left_semi")
         .withColumn("state_code", state_of(F.col("GEOID")))
