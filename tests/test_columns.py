@@ -1,7 +1,6 @@
 """Formulas, names, cleaning and custom columns on hand-worked rows."""
 
 import math
-
 import tempfile
 
 import pytest
@@ -9,11 +8,12 @@ from pyspark.sql import functions as F
 
 from evenground.catalogs import CITY_PERCENTS, DERIVED_PERCENTS, PERCENTS, SUMS, SUMS_OF_SUMS, variable_codes
 from evenground.functions import margins as mg
+from evenground.functions.geometry import box_rings
 from evenground.functions.names import clean_place_name, padded_id
 from evenground.operators import custom as cu
-from evenground.operators.clean import prepare_points, row_accounting, row_counters
+from evenground.operators.clean import as_number, prepare_points, row_accounting, row_counters
 from evenground.operators.scores import demo_scores, geo_scores
-from evenground.operators.spatial import sampled
+from evenground.operators.spatial import cell_index, point_in_polygon, sampled
 from evenground.plans.score import Upload, _static_errors
 from evenground.session import shared_dir
 from evenground.spec import RESERVED_ID, DisparitySpec, Filter
@@ -147,6 +147,39 @@ def test_sample_is_repeatable_and_keeps_small_sets(spark):
     assert first.exceptAll(again).count() == 0
 
 
+def _spec(**changed):
+    return DisparitySpec(**{"dataset_id": "d", "lat_column": "lat", "lon_column": "lon", "geo": "state", **changed})
+
+
+@pytest.mark.parametrize("f,good", [
+    (Filter("when", "date", "singleDate", "01/15/2020"), True), (Filter("when", "date", "singleDate", "2020-01-15"), False),
+    (Filter("when", "date", "dateRange", "01/01/2020 - 02/01/2020"), True), (Filter("when", "date", "dateRange", "01/01/2020"), False),
+    (Filter("n", "number", ">", "3.5"), True), (Filter("n", "number", ">", "many"), False), (Filter("n", "number", ">", None), False),
+])
+def test_bad_filter_values_are_reported_before_any_job(f, good):
+    assert _spec(filters=(f,)).problems() == ([] if good else [f"filter_value_not_valid:{f.column}"])
+
+
+def test_one_bad_request_leaves_the_others(spark):
+    table = spark.sql("SELECT '1' AS lat, '2' AS lon, 'x' AS when")
+    bad = [_spec(dataset_id="date", filters=(Filter("when", "date", "singleDate", "soon"),)), _spec(dataset_id="level", geo="moon"),
+           _spec(dataset_id="column", lon_column="nowhere")]
+    good, errors, prepared = _static_errors([Upload(s, table) for s in [*bad, _spec(dataset_id="good")]])
+    assert [u.spec.dataset_id for u in good] == ["good"] and len(prepared) == 1
+    assert [e[0] for e in errors] == ["date", "level", "column"]
+
+
+def test_far_and_infinite_coordinates_are_outside(spark):
+    rows = [("0.5", "0.5"), ("1e12", "0.5"), ("inf", "0.5"), ("1e300", "-1e300"), ("-Infinity", "NaN"), ("0.5", "x")]
+    table = spark.createDataFrame(rows, "lon string, lat string")
+    points = table.select(as_number(F.col("lon")).alias("lon"), as_number(F.col("lat")).alias("lat"))
+    square = spark.range(1).select(F.lit("a").alias("GEOID"), box_rings(*map(F.lit, (0.0, 0.0, 1.0, 1.0))).alias("rings"))
+    for limit in (1 << 30, -1):
+        out = point_in_polygon(points, cell_index(square), broadcast_bytes=limit)
+        assert sorted(str(r["GEOID"]) for r in out.collect()) == ["None"] * 5 + ["a"]
+    assert points.where("lon IS NULL").count() == 2
+
+
 class _Session:
     """Just what the folder lookup reads."""
 

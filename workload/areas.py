@@ -18,10 +18,6 @@ from workload.registry import query, r, settle
 from workload.views import view
 
 
-def datasets(spark, sf):
-    return view(spark, sf, "fx_point").select("dataset_id").distinct()
-
-
 def all_tracts(spark, sf):
     """Every tract of every dataset, counted; 0 where there is no point."""
     # counted once, read twice
