@@ -15,6 +15,10 @@ bits of both.  Each member of a bucket of two or more names the values around
 it (bits outside the bucket's mask only), and members that name the same value
 are linked to the smallest of them: as many rows as members times a constant,
 also for a bucket that holds a third of the corpus.
+
+Two texts with a good part of their shingles in common differ in a few bits
+more than the radius as often as not.  Several fingerprints, from hashes that
+are mixed anew, each have their own chance; a link in one of them is enough.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenground.llm.common import components, text_batches
+from evenground.llm.pieces import FACTOR, mix
 from evenground.session import written
 
 BITS = 64
@@ -36,20 +41,24 @@ SEED = 42
 STEP = 1 << 16
 
 
-def fingerprint(text: bytes, size: int) -> int:
-    """SimHash of the ``size``-word shingles of a UTF-8 text, A-Z lowered.
-    A shorter text is one shingle; a text without words has fingerprint 0."""
+def shingle_hashes(text: bytes, size: int) -> np.ndarray:
+    """XXH64 of the ``size``-word shingles of a UTF-8 text, A-Z lowered.
+    A shorter text is one shingle; a text without words has none."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= size:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-size])).tolist()
     stops = (ends[size - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, len(starts))
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, len(starts))
+
+
+def voted(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have; 0 without hashes."""
     votes = np.zeros(BITS, np.int64)
     for k in range(0, len(hashes), STEP):
         part = hashes[k : k + STEP].view(np.uint8).reshape(-1, 8)
@@ -57,18 +66,28 @@ def fingerprint(text: bytes, size: int) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, keys: list[str], text: str = "text", size: int = 3) -> DataFrame:
-    """``keys`` of every row and its fingerprint as ``fp BIGINT``."""
+def fingerprint(text: bytes, size: int) -> int:
+    return voted(shingle_hashes(text, size))
+
+
+def fingerprints(docs: DataFrame, keys: list[str], text: str = "text", size: int = 3, times: int = 1) -> DataFrame:
+    """``keys`` of every row, its fingerprint as ``fp BIGINT`` and ``times - 1``
+    further ones in ``more``."""
     text_batches(docs.sparkSession)
     fields = [docs.schema[k] for k in keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(len(keys)).cast(pa.binary()).to_pylist()
-            fps = np.array([fingerprint(t or b"", size) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array(fps)], [*keys, "fp"])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "fp bigint"])
+            fps, more = [], []
+            for t in texts:
+                hashes = shingle_hashes(t or b"", size)
+                fps.append(voted(hashes))
+                more.append([_signed(voted(mix(hashes + np.uint64(int(FACTOR) * k % 2**64)))) for k in range(1, times)])
+            columns = [pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(more, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), *columns], [*keys, "fp", "more"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "fp bigint, more array<bigint>"])
     return docs.select(*keys, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_")).mapInArrow(run, schema)
 
 
@@ -94,26 +113,39 @@ def _tables(radius: int) -> Column:
     return F.expr(f"array({', '.join(out)})".replace("-9223372036854775808L", "(-9223372036854775807L - 1L)"))
 
 
-def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 2, by: tuple[str, ...] = ()) -> DataFrame:
     """Edges ``(a, b)`` that connect ``distinct (fp)`` exactly as all pairs
-    within ``radius`` bits would."""
+    within ``radius`` bits would; with ``by``, apart for each of its values."""
     if radius % 2 or radius < 2:
         raise ValueError("the radius is even and at least 2")
-    keyed = distinct.select("fp", F.posexplode(_tables(radius)).alias("t", "table")).selectExpr(
-        "fp", "t", "fp & table.mask AS key", "table.changes AS changes"
+    keyed = distinct.select(*by, "fp", F.posexplode(_tables(radius)).alias("t", "table")).selectExpr(
+        *by, "fp", "t", "fp & table.mask AS key", "table.changes AS changes"
     )
-    full = keyed.groupBy("t", "key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("t", "key")
-    members = keyed.join(full, ["t", "key"], "left_semi")
-    near = written(members.select("fp", F.explode("changes").alias("c")).selectExpr("fp", "fp ^ c AS value").distinct(), "near")
-    stars = near.groupBy("value").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("value", "lo")
-    return near.join(stars, "value").where("fp <> lo").selectExpr("fp AS a", "lo AS b").distinct()
-
-
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, radius: int = 2,
+    full = keyed.groupBy(*by, "t", "key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select(*by, "t", "key")
+    members = keyed.join(full, [*by, "t", "key"], "left_semi")
+    near = written(members.select(*by, "fp", F.explode("changes").alias("c")).selectExpr(*by, "fp", "fp ^ c AS value").distinct(), "near")
+    stars = near.groupBy(*by, "value").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select(*by, "value", "lo")
+    return near.join(stars, [*by, "value"]).where("fp <> lo").selectExpr(*by, "fp AS a", "lo AS b").distinct()
+
+
+def _further_links(fps: DataFrame, radius: int) -> DataFrame:
+    """Edges between first fingerprints by the others: rows that share one of
+    these are linked to the row with the smallest first one, and so are rows of
+    linked ones."""
+    own = written(fps.select("fp", F.posexplode("more").alias("k", "v")).distinct(), "further")
+    least = written(own.groupBy("k", "v").agg(F.min("fp").alias("m")), "least")
+    same = own.join(least, ["k", "v"]).where("fp <> m").selectExpr("fp AS a", "m AS b")
+    pairs = links(least.selectExpr("k", "v AS fp"), radius, ("k",))
+    one, two = least.selectExpr("k", "v AS a", "m AS x"), least.selectExpr("k", "v AS b", "m AS y")
+    near = pairs.join(one, ["k", "a"]).join(two, ["k", "b"]).where("x <> y").selectExpr("x AS a", "y AS b")
+    return same.unionByName(near)
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, radius: int = 2, times: int = 1,
                     carry: tuple[str, ...] = ()) -> DataFrame:
     """One row for each row of ``docs``: ``key``, ``carry``, ``fp``,
     ``fingerprint`` (hex) and ``component_id``, the smallest key that links
-    reach.
+    reach.  Links are those of ``times`` independent fingerprints together.
 
     NULL texts count as empty, texts without words have fingerprint 0 and are
     linked like any other; rows with a NULL key are linked, but their key is
@@ -121,9 +153,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     give one result row each; an empty table gives no rows.  Other columns of
     ``docs`` are not read.
     """
-    fps = written(fingerprints(docs, [key, *carry], text, size), "fingerprints")
+    fps = written(fingerprints(docs, [key, *carry], text, size, times), "fingerprints")
     groups = fps.groupBy("fp").agg(F.min(key).alias("first_"))
-    roots = components(links(fps.select("fp").distinct(), radius)).withColumnRenamed("node", "fp")
+    edges = links(fps.select("fp").distinct(), radius)
+    if times > 1:
+        edges = edges.unionByName(_further_links(fps, radius))
+    roots = components(edges).withColumnRenamed("node", "fp")
     linked = groups.join(roots, "fp")
     linked = linked.join(linked.groupBy("root").agg(F.min("first_").alias("least_")), "root").select("fp", "least_")
     named = groups.join(linked, "fp", "left").select("fp", F.coalesce("least_", "first_").alias("component_id"))

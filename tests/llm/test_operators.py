@@ -145,6 +145,22 @@ def test_op3(spark, docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_links_of_several_fingerprints(docs):
+    table = [(r[6], (r[1] or "").encode()) for r in sample() if r[6] is not None]
+    fps = []
+    for _, t in table:
+        h = simhash.shingle_hashes(t, 5)
+        fps.append([simhash.voted(h), *(simhash.voted(pieces.mix(h + np.uint64(int(pieces.FACTOR) * k % 2**64))) for k in range(1, 4))])
+    root = list(range(len(fps)))
+    for _ in fps:
+        for i in range(len(fps)):
+            for j in range(len(fps)):
+                if any((a ^ b).bit_count() <= 2 for a, b in zip(fps[i], fps[j])):
+                    root[i] = root[j] = min(root[i], root[j])
+    want = sorted((table[i][0], table[r][0]) for i, r in enumerate(root))
+    assert rows(simhash.near_duplicates(docs.where("id_ IS NOT NULL"), "id_", size=5, times=4), "id_", "component_id") == sorted(want, key=repr)
+
+
 def test_covering_tables_miss_no_pair(spark):
     rnd = random.Random(4)
     for radius in (2, 4):

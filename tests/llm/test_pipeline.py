@@ -1,8 +1,10 @@
 """The corpus pipeline, stage by stage, on small and empty tables."""
 
+import random
+
 import corpus_pipeline
 from evenground.llm.queries import ORACLES, QUERIES
-from tests.llm.test_operators import SCHEMA, sample
+from tests.llm.test_operators import SCHEMA, WORDS, sample
 
 
 def _folder(spark, tmp_path, rows):
@@ -14,8 +16,9 @@ def _folder(spark, tmp_path, rows):
 
 def test_stages(spark, tmp_path):
     leak = " ".join(f"q{i}" for i in range(30))
-    clean = " ".join(f"word{i} and" for i in range(40))
-    rows = [*sample(), (500, f"{clean} {leak}", "en", "a", 1, None, None, None), (501, clean + " tail", "en", "a", 1, None, None, None)]
+    rnd = random.Random(9)
+    one, two = (" ".join(rnd.choice(WORDS) for _ in range(200)) for _ in range(2))
+    rows = [*sample(), (500, f"{one} {leak}", "en", "a", 1, None, None, None), (501, two, "en", "a", 1, None, None, None)]
     folder = _folder(spark, tmp_path, rows)
     docs, seen = spark.read.parquet(f"{folder}/documents.parquet"), []
     for name, stage in corpus_pipeline.STAGES:
