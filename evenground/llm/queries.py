@@ -8,20 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from evenground.llm import tokenfile
+from evenground.llm.backoff import score_texts
 from evenground.llm.common import tokenizer_file
-from evenground.llm.simhash import near_duplicates
-from evenground.llm.quality import quality
-from evenground.llm.secrets import secret_spans, span_text
-from evenground.llm.tiling import decontaminate
+from evenground.llm.html import extract
 from evenground.llm.lines import line_dedup
+from evenground.llm.oracles import QUALITY, SECRETS
 from evenground.llm.pieces import sampled_pieces
-from evenground.llm.html import extract
-from evenground.llm import tokenfile
-from evenground.llm.backoff import score_texts
+from evenground.llm.quality import quality
+from evenground.llm.secrets import secret_spans, span_text
+from evenground.llm.simhash import near_duplicates
 from evenground.llm.suffixes import remove_repeats
+from evenground.llm.tiling import decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_quality_rules": QUALITY, "op7_secret_scans": SECRETS}
 
 
 if corpus_pipeline.ORACLE_SQL:
@@ -54,7 +55,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     out = quality(_table(spark, sf_dir, "documents"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return out.select("doc_id", *[f"m.{c}" for c in base], "m.class_js", "m.word_js")
+    return out.select("doc_id", *[f"m.{c}" for c in base], *[F.round(f"m.{c}", 6).alias(c) for c in ("class_js", "word_js")])
 
 
 @_query
