@@ -11,6 +11,8 @@ from evenground.session import written
 
 #: rows of one Arrow batch that carry whole texts
 TEXT_ROWS = 256
+#: white space between words, U+0020 and U+0009 to U+000D
+SPACE = " \t\n\x0b\x0c\r"
 
 
 def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
@@ -30,7 +32,8 @@ def bind(value: Column, body) -> Column:
 
 def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; NULL has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    trimmed = F.btrim(F.coalesce(text.cast("string"), F.lit("")), F.lit(SPACE))
+    return F.when(trimmed == "", F.expr("CAST(array() AS array<string>)")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -92,85 +92,103 @@ def divergence(p: Column, q: Column) -> Column:
     return bind(total(F.transform(p, lambda x: x.cast("double"))), lambda s: F.when(s > 0, over(s)))
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON_WORDS,
-               least_words: int = 20_000) -> DataFrame:
-    """One row per language with ``least_words`` words or more, and one with
-    ``lang_`` NULL for all documents together: ``class_shares``,
-    ``common_words`` (by count, then word), ``word_shares`` (last: all other
-    words)."""
+def word_references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON_WORDS,
+                    least_words: int = 20_000) -> DataFrame:
+    """One row per language and, with ``lang_`` NULL, one for all documents
+    together, each with ``least_words`` words or more: ``common_words`` (by count,
+    then word), ``word_shares`` (last: all other words)."""
     plain = docs.select(F.col(lang).cast("string").alias("lang_"), F.col(text).cast("string").alias("text_"))
     words = plain.select("lang_", F.explode(words_of(F.col("text_"))).alias("word"))
     counts = written(words.groupBy("lang_", "word").agg(F.count("*").alias("n")), "words")
     both = counts.where("lang_ IS NOT NULL").select("lang_", "word", "n", F.lit(False).alias("all_")).unionByName(
         counts.groupBy("word").agg(F.sum("n").alias("n")).select(
             F.lit(None).cast("string").alias("lang_"), "word", "n", F.lit(True).alias("all_")))
-    totals = both.groupBy("lang_", "all_").agg(F.sum("n").alias("total"))
+    totals = both.groupBy("lang_", "all_").agg(F.sum("n").alias("total")).where(F.col("total") >= least_words)
     order = Window.partitionBy("lang_", "all_").orderBy(F.desc("n"), "word")
     top = both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= common)
     top = top.groupBy("lang_", "all_").agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
-    table = top.join(totals, (top["lang_"].eqNullSafe(totals["lang_"])) & (top["all_"] == totals["all_"])).select(
-        top["lang_"], "top", "total")
-    measured = plain.select("lang_", F.length("text_").cast("long").alias("chars_"), base_measures(F.col("text_"))["c_"]["classes"].alias("c"))
-    sums = measured.groupBy("lang_").agg(F.sum("chars_").alias("chars"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(CLASSES))])
+    common_n = F.aggregate(F.col("top"), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    out = top.join(totals, (top["lang_"].eqNullSafe(totals["lang_"])) & (top["all_"] == totals["all_"])).select(
+        top["lang_"], F.transform("top", lambda x: x["word"]).alias("common_words"),
+        F.concat(F.transform("top", lambda x: x["n"] / F.col("total")), F.array((F.col("total") - common_n) / F.col("total"))).alias("word_shares"))
+    return written(out, "references")
+
+
+def class_references(measured: DataFrame) -> DataFrame:
+    """``lang_`` and ``class_shares`` over all measured documents of each
+    language, and over all documents together with ``lang_`` NULL."""
     names = ["chars", *(f"c{i}" for i in range(len(CLASSES)))]
+    sums = measured.groupBy("lang_").agg(
+        F.sum("chars_").alias("chars"), *[F.sum(F.col("classes_")[i]).alias(f"c{i}") for i in range(len(CLASSES))])
     sums = written(sums, "classes")
     sums = sums.where("lang_ IS NOT NULL").unionByName(
         sums.agg(*[F.sum(n).alias(n) for n in names]).withColumn("lang_", F.lit(None).cast("string")))
-    classes = F.array(*[F.col(f"c{i}") for i in range(len(CLASSES))])
-    shares = sums.where("chars > 0").select(
-        F.col("lang_").alias("of_"), F.transform(_histogram(F.col("chars"), classes), lambda x: x / F.col("chars")).alias("class_shares"))
-    common_n = F.aggregate(F.col("top"), F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    out = table.join(shares, table["lang_"].eqNullSafe(shares["of_"])).where(
-        (F.col("total") >= least_words) | F.col("lang_").isNull()
-    ).select(
-        "lang_", "class_shares", F.transform("top", lambda x: x["word"]).alias("common_words"),
-        F.concat(F.transform("top", lambda x: x["n"] / F.col("total")), F.array((F.col("total") - common_n) / F.col("total"))).alias("word_shares"),
-    )
-    return written(out, "references")
+    classes = F.array(*[F.col(n) for n in names[1:]])
+    return written(sums.where("chars > 0").select(
+        "lang_", F.transform(_histogram(F.col("chars"), classes), lambda x: x / F.col("chars")).alias("class_shares")), "references")
 
 
-def quality(docs: DataFrame, text: str = "text", lang: str = "lang", refs: DataFrame | None = None,
-            class_limit: float = 0.32, word_limit: float = 0.18, word_noise: float = 2.3, least_chars: int = 200,
-            least_words: int = 50, all_columns: bool = False) -> DataFrame:
-    """All columns of ``docs`` (or ``doc_id`` and ``lang`` only) and the measures, ``class_js``,
-    ``word_js``, ``base_failed`` and ``kept``.
+def _with_reference(rows: DataFrame, refs: DataFrame, value, own_only: DataFrame | None = None) -> DataFrame:
+    """``r``: the reference of the row's language, else the one of all.  The
+    table of references is small and written, so it is broadcast by its size."""
+    own = refs.where("lang_ IS NOT NULL").select("lang_", value.alias("own_"))
+    if own_only is not None:
+        own = own.join(own_only.where("lang_ IS NOT NULL").select("lang_"), "lang_", "left_semi")
+    pooled = refs.where("lang_ IS NULL").select(value.alias("pooled_"))
+    if own_only is not None:
+        pooled = pooled.join(own_only.where("lang_ IS NULL").select("word_shares"), F.lit(True), "left_semi")
+    return rows.join(own, "lang_", "left").join(pooled, F.lit(True), "left").withColumn("r", F.coalesce("own_", "pooled_")).drop("own_", "pooled_")
+
+
+def quality(docs: DataFrame, text: str = "text", lang: str = "lang", class_limit: float = 0.32, word_limit: float = 0.18,
+            word_noise: float = 2.3, least_chars: int = 200, least_words: int = 50, all_columns: bool = False) -> DataFrame:
+    """All columns of ``docs`` (or ``doc_id`` and ``lang`` only) and a struct
+    ``m`` of the measures, ``class_js``, ``word_js``, ``base_failed``, ``kept``.
+
+    Texts are read twice: for the common words, then for all measures, which
+    are written; references of classes and verdicts come from the latter.
 
     A distance is NULL, and decides nothing, for a text under the least
     length.  A language without a reference of its own (too few words, or
-    NULL) is compared with all documents together.  NULL texts count as
-    empty and fail the base rules; an empty table gives no rows.  Measures
-    overwrite nothing: they are returned beside the input in a struct ``m``.
+    NULL) is compared with all documents together, unless these have too few
+    words as well.  NULL texts count as
+    empty and fail the base rules; an empty table gives no rows; columns of
+    ``docs`` may have any names.
     """
-    refs = references(docs, text, lang) if refs is None else refs
-    own = refs.where("lang_ IS NOT NULL")
-    pooled = refs.where("lang_ IS NULL").select(
-        F.struct("class_shares", "common_words", "word_shares").alias("pooled_"))
-    named = own.select("lang_", F.struct("class_shares", "common_words", "word_shares").alias("own_"))
-    mine = docs if all_columns else docs.select("doc_id", text, lang)
+    words = word_references(docs, text, lang)
+    mine = docs if all_columns else docs.select("doc_id", lang)
     columns = mine.columns
-    rows = mine.select(F.struct("*").alias("row_"), F.col(lang).cast("string").alias("lang_"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_"))
-    rows = rows.join(named, "lang_", "left").join(pooled, F.lit(True), "left").select(
-        "row_", "text_", F.coalesce("own_", "pooled_").alias("r"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row_"), F.col(lang).cast("string").alias("lang_"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_"))
+    rows = _with_reference(rows, words, F.struct("common_words", "word_shares"))
     base = base_measures(F.col("text_"))
 
     def of_words(w: Column) -> Column:
         def words_js(found: Column) -> Column:
-            bins = F.concat(
-                F.transform(F.col("r.common_words"), lambda x: (F.size(found) - F.size(F.array_remove(found, x))).cast("long")),
-                F.array((F.size(w) - F.size(found)).cast("long")))
-            return divergence(bins, F.col("r.word_shares"))
+            # each word has two spaces of its own, so that removing one leaves the others
+            joined = F.concat(F.lit(" "), F.array_join(found, "  "), F.lit(" "))
+
+            def count(s: Column) -> Column:
+                number = lambda x: ((F.length(s) - F.length(F.replace(s, F.concat(F.lit(" "), x, F.lit(" ")), F.lit("")))) / (F.length(x) + 2)).cast("long")
+                return F.concat(F.transform(F.col("r.common_words"), number), F.array((F.size(w) - F.size(found)).cast("long")))
+
+            return divergence(bind(joined, count), F.col("r.word_shares"))
 
         longest = F.array_max(F.transform(F.col("r.common_words"), F.length))
-        found = bind(longest, lambda n: F.filter(F.filter(w, lambda x: F.length(x) <= n), lambda x: F.array_contains(F.col("r.common_words"), x)))
+        found = bind(longest, lambda n: F.filter(w, lambda x: (F.length(x) <= n) & F.array_contains(F.col("r.common_words"), x)))
         return F.struct(
             F.size(w).cast("long").alias("n_words"), _repeated_words(w).alias("n_repeat_words"),
             F.when(F.size(w) >= least_words, bind(found, words_js)).alias("word_js"))
 
-    rows = rows.select("row_", "r", *[c.alias(n) for n, c in base.items()], bind(words_of(F.col("text_")), of_words).alias("w"))
-    class_js = F.when(F.col("chars_") >= least_chars, divergence(_histogram(F.col("chars_"), F.col("c_.classes")), F.col("r.class_shares")))
-    rows = rows.select(
-        "row_", F.col("w.n_words").alias("n_words"), (F.col("chars_") - F.col("c_.classes")[list(CLASSES).index("space")]).alias("word_chars"),
-        F.col("c_.symbols").alias("n_symbols"), "n_dup_lines", F.col("w.n_repeat_words").alias("n_repeat_words"), class_js.alias("class_js"), F.col("w.word_js").alias("word_js"))
+    measured = rows.select("row_", "lang_", *[c.alias(n) for n, c in base.items()], bind(words_of(F.col("text_")), of_words).alias("w")).select(
+        "row_", "lang_", "chars_", F.col("c_.classes").alias("classes_"), F.col("c_.symbols").alias("n_symbols"), "n_dup_lines", "w.*")
+    measured = written(measured, "measures")
+    judged = _with_reference(measured, class_references(measured), F.col("class_shares"), words)
+    class_js = F.when(F.col("chars_") >= least_chars, divergence(_histogram(F.col("chars_"), F.col("classes_")), F.col("r")))
+    rows = judged.select(
+        "row_", "n_words", (F.col("chars_") - F.col("classes_")[list(CLASSES).index("space")]).alias("word_chars"),
+        "n_symbols", "n_dup_lines", "n_repeat_words", class_js.alias("class_js"), "word_js")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     far = (F.coalesce(F.col("class_js"), F.lit(0.0)) > class_limit) | (
         F.coalesce(F.col("word_js"), F.lit(0.0)) > word_limit + word_noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)).cast("double")))
