@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,16 @@ def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def kept_in_worker(name: str, make):
+    """What ``make`` returns, kept by a Python worker between its tasks.  The
+    functions of this package travel by value, so their own globals are new in
+    each task."""
+    store = sys.modules.setdefault("evenground_kept", types.ModuleType("evenground_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once for each row.
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evenground.llm.common import text_batches
+from evenground.llm.common import kept_in_worker, text_batches
 from evenground.session import fresh_path, written
 
 MAGIC = b"TKV1"
 #: pattern of the pre-tokens of a byte-level vocabulary
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK_IDS = 1 << 18
-CACHE = 200_000
+CACHE = 400_000
 
 # lengths of the four numbers of each control byte
 SIZES = np.stack([(np.arange(256) >> shift & 3) + 1 for shift in (0, 2, 4, 6)], axis=1).astype(np.int64)
@@ -66,9 +67,34 @@ def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     return lengths, out[:n_ids]
 
 
+class Known(dict):
+    """Ids of pre-tokens as bytes, from the model where they are new."""
+
+    def __init__(self, model, code: str) -> None:
+        self.tokenize, self.code = model.tokenize, code
+        # bytes as the characters of a byte-level vocabulary: printable ones as
+        # they are, the others in order from 256 on
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = [b for b in range(256) if b not in plain]
+        self.signs = {b: chr(256 + k) for k, b in enumerate(others)}
+        self.space = self.signs[32]
+
+    def __missing__(self, part: str) -> bytes:
+        if part.isascii() and part[1:].isalnum() and part[0] == " ":
+            name = self.space + part[1:]
+        else:
+            name = part.encode().decode("latin-1").translate(self.signs)
+        self[part] = found = array(self.code, [t.id for t in self.tokenize(name)]).tobytes()
+        return found
+
+
 class Encoder:
-    """Ids of whole texts with the tokenizers library; ids of pre-tokens seen
-    before are kept.  A text that may hold a special token goes to the library as a whole."""
+    """Ids of whole texts with the tokenizers library.
+
+    Texts are split into pre-tokens here, the library's model merges each new
+    one, and the ids of those seen before are kept.  A text that may hold a
+    special token, and any other kind of tokenizer, goes to the library as a whole.
+    """
 
     def __init__(self, path: str) -> None:
         import json
@@ -81,21 +107,17 @@ class Encoder:
         self.special = [t["content"] for t in settings.get("added_tokens", [])]
         pre = settings.get("pre_tokenizer") or {}
         self.split = settings.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-        self.findall, self.known = regex.compile(PATTERN).findall, {}
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.findall, self.known = regex.compile(PATTERN).findall, Known(self.tokenizer.model, "HI"[self.width // 4])
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str) -> bytes:
+        """Ids as unsigned numbers of ``width`` bytes, low byte first."""
         if not self.split or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        parts, known = self.findall(text), self.known
-        new = {p for p in parts if p not in known}
-        if new:
-            if len(known) > CACHE:
-                known.clear()
-                new = set(parts)
-            new = list(new)
-            for part, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[part] = np.array(found.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join([known[p] for p in parts]), "<u4")
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
+        if len(self.known) > CACHE:
+            self.known.clear()
+        known = self.known
+        return b"".join([known[p] for p in self.findall(text)])
 
 
 def encode(docs: DataFrame, tokenizer: str, key: str, text: str, end: int | None) -> DataFrame:
@@ -104,12 +126,11 @@ def encode(docs: DataFrame, tokenizer: str, key: str, text: str, end: int | None
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        kind = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        last = np.array([] if end is None else [end], kind).tobytes()
+        encoder = kept_in_worker(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
+        last = np.array([] if end is None else [end], f"<u{encoder.width}").tobytes()
         for batch in batches:
-            ids = [encoder.encode(t).astype(kind).tobytes() + last for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([int(kind[2])] * len(ids), pa.int32())], names=["key_", "ids", "width"])
+            ids = [encoder.encode(t) + last for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([encoder.width] * len(ids), pa.int32())], names=["key_", "ids", "width"])
 
     rows = docs.select(F.col(key).alias("key_"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_"))
     return rows.mapInArrow(run, f"key_ {docs.schema[key].dataType.simpleString()}, ids binary, width int")
