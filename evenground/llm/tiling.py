@@ -77,13 +77,12 @@ def tiles(item: list[int], text: list[int], least: int) -> list[tuple[int, int,
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "[^\\p{L}\\p{N}]+"), "")
 
 
 def _seeds(words: Column, seed: int) -> Column:
     return F.when(F.size(words) < seed, F.expr("CAST(array() AS array<bigint>)")).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(words) - seed), lambda i: F.xxhash64(
-            *[F.get(words, i + k) for k in range(seed)]))))
+        F.transform(F.sequence(F.lit(0), F.size(words) - seed), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(seed)])))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id",
@@ -100,7 +99,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         F.col(item_key).alias("item"), tokens(F.col(item_text)).alias("item_tokens")).withColumn(
         "item_row", F.xxhash64("item", "item_tokens")).where(F.size("item_tokens") >= seed)
     items = written(items.dropDuplicates(["item_row"]), "items")
-    keys = written(items.select("item_row", F.explode(_seeds(F.col("item_tokens"), seed)).alias("seed")), "seeds")
+    keys = written(items.select("item_row", F.explode(_seeds(F.col("item_tokens"), seed)).alias("seed")).distinct(), "seeds")
     words = docs.select("id_", bind(tokens(F.col(text)), lambda w: _seeds(w, seed)).alias("s"))
     shared = words.select("id_", F.explode("s").alias("seed")).join(small_side(keys.select("seed").distinct()), "seed", "left_semi")
     pairs = written(shared.join(small_side(keys), "seed").groupBy("id_", "item_row").agg(F.count("*").alias("seeds")), "pairs")
