@@ -35,7 +35,7 @@ from evenground.llm.pieces import mix
 from evenground.session import written
 
 GRAM = 64
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 2_500_000
 #: pieces of one seed that go to one shard; beyond, windows are dealt out
 SEED_PIECES = 4_000
 CUT = 0xFF  # no byte of UTF-8
