@@ -8,9 +8,9 @@ control byte, so a block is decoded without a loop over its numbers.
 
 Format of a block (numbers are little-endian): ``TKV1``; number of documents
 and of ids (u32 each); ids of each document (u32); control bytes; data bytes.
-Blocks are rows of Parquet files, ``block_start`` being the number of ids in
-all blocks before; the rank table is a Parquet file beside them.  So the files
-lie in any store that Spark writes to.
+Blocks are rows of Parquet files with their number of ids before in the same
+part; the numbers of ids before each part and the ranks are Parquet files beside
+them.  So the files lie in any store that Spark writes to.
 """
 
 from __future__ import annotations
@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evenground.llm.common import kept_in_worker, text_batches
-from evenground.session import fresh_path, written
+from evenground.session import fresh_path, small_side, written
 
 MAGIC = b"TKV1"
 #: pattern of the pre-tokens of a byte-level vocabulary
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK_IDS = 1 << 18
-CACHE = 400_000
+CACHE = 600_000
 
 # lengths of the four numbers of each control byte
 SIZES = np.stack([(np.arange(256) >> shift & 3) + 1 for shift in (0, 2, 4, 6)], axis=1).astype(np.int64)
@@ -68,23 +68,40 @@ def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Known(dict):
-    """Ids of pre-tokens as bytes, from the model where they are new."""
+    """Ids, as bytes, of a space and a stretch of text without spaces, from the
+    model where they are new.
 
-    def __init__(self, model, code: str) -> None:
-        self.tokenize, self.code = model.tokenize, code
+    Pre-tokens reach over a space only where white space follows white space,
+    so the stretches of any other text can be encoded apart.
+    """
+
+    def __init__(self, model, code: str, findall) -> None:
+        self.tokenize, self.code, self.findall = model.tokenize, code, findall
         # bytes as the characters of a byte-level vocabulary: printable ones as
         # they are, the others in order from 256 on
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in plain]
         self.signs = {b: chr(256 + k) for k, b in enumerate(others)}
-        self.space = self.signs[32]
+        self.words: dict[str, bytes] = {}
+
+    def word(self, part: str) -> bytes:
+        found = self.words.get(part)
+        if found is None:
+            name = part.encode().decode("latin-1").translate(self.signs)
+            found = self.words[part] = array(self.code, [t.id for t in self.tokenize(name)]).tobytes()
+        return found
+
+    def plain(self, text: str) -> bytes:
+        return b"".join([self.word(p) for p in self.findall(text)])
 
     def __missing__(self, part: str) -> bytes:
-        if part.isascii() and part[1:].isalnum() and part[0] == " ":
-            name = self.space + part[1:]
+        if part.isalpha():
+            found = self.word(" " + part)
+        elif part[-1:] in (",", ".") and part[:-1].isalpha():
+            found = self.word(" " + part[:-1]) + self.word(part[-1])
         else:
-            name = part.encode().decode("latin-1").translate(self.signs)
-        self[part] = found = array(self.code, [t.id for t in self.tokenize(name)]).tobytes()
+            found = self.plain(" " + part)
+        self[part] = found
         return found
 
 
@@ -108,16 +125,21 @@ class Encoder:
         pre = settings.get("pre_tokenizer") or {}
         self.split = settings.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.findall, self.known = regex.compile(PATTERN).findall, Known(self.tokenizer.model, "HI"[self.width // 4])
+        self.known = Known(self.tokenizer.model, "HI"[self.width // 4], regex.compile(PATTERN).findall)
+        self.two_spaces = regex.compile(r"\s\s").search
 
     def encode(self, text: str) -> bytes:
         """Ids as unsigned numbers of ``width`` bytes, low byte first."""
         if not self.split or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
-        if len(self.known) > CACHE:
-            self.known.clear()
         known = self.known
-        return b"".join([known[p] for p in self.findall(text)])
+        if len(known) + len(known.words) > CACHE:
+            known.clear()
+            known.words.clear()
+        if not text or self.two_spaces(text):
+            return known.plain(text)
+        first, *others = text.split(" ")
+        return known.plain(first) + b"".join([known[p] for p in others])
 
 
 def encode(docs: DataFrame, tokenizer: str, key: str, text: str, end: int | None) -> DataFrame:
@@ -161,7 +183,7 @@ def ranks(encoded: DataFrame) -> DataFrame:
 
 def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text", end: int | None = None,
           block_ids: int = BLOCK_IDS) -> None:
-    """Write ``path/blocks`` and ``path/ranks``; documents stand in ascending
+    """Write ``path/blocks``, ``path/parts`` and ``path/ranks``; documents stand in ascending
     order of ``key``, NULL first, ties in the order of their ids' checksum.
 
     A NULL text is empty and has the end id only.  Encoded ids are written to
@@ -176,14 +198,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
     kind = encoded.schema["key_"].dataType
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), 0
+        part, before = TaskContext.get().partitionId(), 0
 
         def emit(keys: list, ids: list) -> pa.RecordBatch:
             lengths = np.array([len(i) for i in ids], np.uint32)
             block = pack(lengths, of[np.concatenate(ids)])
             return pa.RecordBatch.from_arrays([
-                pa.array([part], pa.int32()), pa.array([number], pa.int64()), pa.array([int(lengths.sum())], pa.int64()),
-                pa.array([keys], pa.list_(names)), pa.array([block], pa.binary())], names=["part", "number", "n_ids", "keys", "block"])
+                pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([int(lengths.sum())], pa.int64()),
+                pa.array([keys], pa.list_(names)), pa.array([block], pa.binary())], names=["part", "in_part", "n_ids", "keys", "block"])
 
         keys, ids, size, names = [], [], 0, None
         for batch in batches:
@@ -194,22 +216,18 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
                 size += len(ids[-1])
                 if size >= block_ids:
                     yield emit(keys, ids)
-                    keys, ids, size, number = [], [], 0, number + 1
+                    keys, ids, size, before = [], [], 0, before + size
         if keys:
             yield emit(keys, ids)
 
     order = [F.col("key_").asc_nulls_first(), F.col("tie").asc()]
     dealt = encoded.withColumn("tie", F.xxhash64("ids")).orderBy(*order).select("key_", "ids", "width")
-    out = dealt.mapInArrow(blocks, f"part int, number bigint, n_ids bigint, keys array<{kind.simpleString()}>, block binary")
-    raw = written(out, "blocks")
-    parts = raw.groupBy("part").agg(F.sum("n_ids").alias("in_part"))
+    out = dealt.mapInArrow(blocks, f"part int, in_part bigint, n_ids bigint, keys array<{kind.simpleString()}>, block binary")
+    out.write.parquet(f"{path}/blocks")
+    parts = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n"))
     # as many rows as there are partitions
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("in_part").over(before), F.lit(0)).alias("part_start"))
-    within = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    starts = raw.select("part", "number", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("s")).join(parts, "part").select(
-        "part", "number", (F.col("part_start") + F.col("s")).cast("long").alias("block_start"))
-    raw.join(starts, ["part", "number"]).select("part", "number", "block_start", "n_ids", "keys", "block").write.parquet(f"{path}/blocks")
+    parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start")).write.parquet(f"{path}/parts")
 
 
 def read(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
@@ -218,7 +236,9 @@ def read(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
     table = spark.read.parquet(f"{path}/ranks").select("id", "rank").toPandas()  # bounded by the vocabulary
     of = np.zeros(len(table), np.uint32)
     of[table["rank"].to_numpy()] = table["id"].to_numpy()
-    blocks = spark.read.parquet(f"{path}/blocks").select("keys", "block_start", "block")
+    parts = small_side(spark.read.parquet(f"{path}/parts"))
+    blocks = spark.read.parquet(f"{path}/blocks").join(parts, "part").select(
+        "keys", (F.col("part_start") + F.col("in_part")).alias("block_start"), "block")
     text_batches(spark, 16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -230,6 +230,16 @@ def test_op5(spark, docs, empty, tmp_path):
     assert tokenfile.read(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_stretches_are_encoded_as_the_library_does():
+    encoder = tokenfile.Encoder(tokenizer_file("byte_bpe_50k.json"))
+    rnd = random.Random(7)
+    parts = ["a", "don't", "the,", " ", "  ", "\n", "\n\n", "\t", "12", "x_1", "é", "ß.", "日本", "\u00a0", "\u2003", "'s", "!?", "🙂", "\r\n", ""]
+    for _ in range(1500):
+        text = "".join(rnd.choice(parts) + rnd.choice(["", " "]) for _ in range(rnd.randint(0, 12)))
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == want, text
+
+
 def test_packed_numbers():
     rnd = np.random.default_rng(6)
     for n in (0, 1, 3, 4, 5, 1000):
