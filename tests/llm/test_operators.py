@@ -276,6 +276,23 @@ def test_op6_rejects_what_is_unlike_its_language(spark):
     assert all(out[i] for i in range(300)) and not any(out[1000 + i] for i in range(3))
 
 
+def test_op6_small_languages_have_their_own_reference(spark):
+    rnd = random.Random(3)
+    vocabularies = {k: [f"{k}{rnd.choice('aeiou')}{i}" for i in range(30)] for k in ("en", "de", "fr")}
+    text = lambda k: " ".join(rnd.choice(vocabularies[k][:6] * 4 + vocabularies[k]) for _ in range(120))
+    good = [(i, text(k), k) for i, k in enumerate(["en"] * 300 + ["de"] * 12 + ["fr"] * 12)]
+    nulls = [(1000 + i, text(k), None) for i, k in enumerate(["en", "de", "fr"])]
+    junk = lambda: " ".join("".join(rnd.choice("QXZ#$%019") for _ in range(6)) for _ in range(120))
+    odd = [(2000, junk(), "de"), (2001, junk(), None)]
+    for n in (300, 15):  # the second table is under 20,000 words in all
+        table = good[:n] + good[300:] + nulls + odd
+        out = {r["doc_id"]: r["m"] for r in quality.quality(spark.createDataFrame(table, "doc_id int, text string, lang string")).collect()}
+        assert {i for i, m in out.items() if not m["kept"]} == {2000, 2001}
+        assert all(m["word_js"] is not None and m["class_js"] is not None for m in out.values())
+    none = quality.quality(spark.createDataFrame([(1, text("en"), None)], "doc_id int, text string, lang string")).first()["m"]
+    assert none["kept"] and none["word_js"] is None and none["class_js"] is None
+
+
 def test_op7(spark, docs, empty):
     assign = re.compile(r"(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
     out = collections.defaultdict(list)
