@@ -38,6 +38,24 @@ def test_stages(spark, tmp_path):
     assert docs.where("NOT lossless").count() == 0
 
 
+def test_near_copies_of_a_similarity_of_four_fifths(spark):
+    rnd = random.Random(4)
+    grams = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+    table, gone = [], set()
+    for g in range(60):
+        plain = [f"w{rnd.randint(0, 5000)}" for _ in range(200)]
+        near = list(plain)
+        for k in rnd.sample(range(10, 190), 4 if g % 2 else 9):
+            near[k] = "x"
+        same = len(grams(plain) & grams(near)) / len(grams(plain) | grams(near))
+        table += [(2 * g, " ".join(plain)), (2 * g + 1, " ".join(near))]
+        gone |= {2 * g + 1} if same >= 0.8 else set()
+    assert 25 <= len(gone) <= 45
+    docs = spark.createDataFrame(table, "doc_id bigint, text string")
+    left = {r[0] for r in corpus_pipeline.dedup_documents(spark, docs, "").select("doc_id").collect()}
+    assert left == {i for i, _ in table} - gone
+
+
 def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, _folder(spark, tmp_path, [])).count() == 0
 
