@@ -5,7 +5,8 @@ their paragraphs.  A container's path is generalised to tag and class names
 without numbers; hosts add up the scores of their pages by path, in Spark, and
 the path with the most support is the host's.  Each page is then read again
 with the winning path; a page that lacks it falls back to its own best
-container.  Inside, navigation, notices, adverts, forms and comments are left
+container.  From there the reading climbs to the lowest container that holds
+all text blocks that are not mainly links.  Inside, navigation, notices, adverts, forms and comments are left
 out by tag, role and name.
 """
 
@@ -173,14 +174,15 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
 
 def scores(found: list[tuple[Node, str, int]]) -> dict[str, float]:
     """Score of each container path of a page: the text of its own blocks
-    counts in full, that of containers in it by three tenths a level, links against it."""
+    counts in full, that of containers in it by half a level, links against
+    it; the root counts like a body."""
     out: dict[str, float] = {}
     for node, text, linked in found:
         share, level = len(text) - 2.0 * linked, node.container
         if node.tag in ("p", "pre", "blockquote") and len(text) >= 80:
             share *= 1.5
         weight = 1.0
-        while level is not None and level.path and weight > 0.02:
+        while level is not None and weight > 0.02:
             named = 1.3 if level.tag in ("article", "main") else 1.0
             out[level.path] = out.get(level.path, 0.0) + share * weight * named
             weight *= 0.5
@@ -189,24 +191,34 @@ def scores(found: list[tuple[Node, str, int]]) -> dict[str, float]:
 
 
 def main_text(page: str, winners: list[str]) -> str:
-    """Text of a page's blocks under the best of ``winners`` that it has, else
-    under its own best container, else of all its blocks."""
+    """Text of a page's blocks in the lowest container that holds those under
+    the best of ``winners`` that it has, else under its own best container, and
+    all blocks that are not mainly links."""
     found = blocks(page)
     if not found:
         return ""
     own = scores(found)
-    path = next((w for w in winners if own.get(w, 0.0) > 0), None) or max(own, key=lambda p: (own[p], -len(p), p), default=None)
-    if path is None:
-        return " ".join(text for _, text, _ in found)
-
-    def below(node: Node | None) -> bool:
-        while node is not None:
-            if node.path == path and node.tag in CONTAINERS:
-                return True
-            node = node.parent
-        return False
+    path = next((w for w in winners if own.get(w, 0.0) > 0), None) or max(own, key=lambda p: (own[p], -len(p), p), default="")
 
-    return " ".join(text for node, text, _ in found if below(node))
+    def around(node: Node) -> list[Node]:
+        """The containers of a node, the outermost first."""
+        out, level = [], node.container
+        while level is not None:
+            out.append(level)
+            level = level.parent.container if level.parent is not None else None
+        return out[::-1]
+
+    chains = [around(node) for node, _, _ in found]
+    held = None
+    for (_, text, linked), chain in zip(found, chains):
+        depth = next((k for k, x in enumerate(chain) if x.path == path), None)
+        if depth is None and 2 * linked > len(text):
+            continue
+        # a block under the winner asks for the winner, any other for its own container
+        asked = chain if depth is None else chain[: depth + 1]
+        held = asked if held is None else [x for x, y in zip(held, asked) if x is y]
+    lowest = held[-1] if held else None
+    return " ".join(text for (_, text, _), chain in zip(found, chains) if lowest is None or any(x is lowest for x in chain))
 
 
 def host_of(column):

@@ -363,6 +363,17 @@ def test_op9(spark):
     assert html.extract(spark.createDataFrame([], "page_id int, url string, html string")).count() == 0
 
 
+def test_op9_keeps_all_text_that_is_not_noise(spark):
+    a, b, c = "lead " * 20, "first part " * 55, "second part " * 50
+    pages = [
+        f"<body><nav>menu</nav><article><h1>A long head line</h1><p>{a}</p><section><p>{b}</p><p>{c}</p></section></article><div><a href='x'>more</a></div></body>",
+        f"<body><main><h1>A long head line</h1><div class='lead'>{a}</div><div class='story'><p>{b}</p><p>{c}</p></div></main></body>",
+        f"<h1>A long head line</h1><p>{a}</p><div><p>{b}</p><p>{c}</p></div>"]
+    table = [(10 * k + i, f"http://{k}.example/{i}", page) for k, page in enumerate(pages) for i in range(3)]
+    want = " ".join(f"A long head line {a}{b}{c}".split())
+    assert {r["text"] for r in html.extract(spark.createDataFrame(table, "page_id int, url string, html string")).collect()} == {want}
+
+
 @pytest.mark.parametrize("unit", [1, 12_000_000])
 def test_op10(docs, empty, unit, monkeypatch):
     monkeypatch.setattr(backoff, "UNIT_BYTES", unit)
