@@ -10,19 +10,22 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from evenground.llm import tokenfile
 from evenground.llm.backoff import score_texts
-from evenground.llm.common import tokenizer_file
+from evenground.llm.common import bind, tokenizer_file, words_of
 from evenground.llm.html import extract
 from evenground.llm.lines import line_dedup
-from evenground.llm.oracles import QUALITY, SECRETS
+from evenground.llm.oracles import QUALITY, SEARCH, SECRETS
+from evenground.llm.packing import packed
 from evenground.llm.pieces import sampled_pieces
 from evenground.llm.quality import quality
+from evenground.llm.ranked import search
+from evenground.llm.runs import periodic_runs
 from evenground.llm.secrets import secret_spans, span_text
 from evenground.llm.simhash import near_duplicates
 from evenground.llm.suffixes import remove_repeats
 from evenground.llm.tiling import decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op6_quality_rules": QUALITY, "op7_secret_scans": SECRETS}
+ORACLES: dict[str, str] = {"op6_quality_rules": QUALITY, "op7_secret_scans": SECRETS, "op12_ranked_lexical_search": SEARCH}
 
 
 if corpus_pipeline.ORACLE_SQL:
@@ -116,3 +119,46 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document under strings of 400 bytes that stand elsewhere."""
     return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in the texts whose checksum ends in 0 the words
+    from a place on repeat the first words after it."""
+    mark = F.crc32(F.col("doc_id").cast("string"))
+    steps = F.floor(mark / 10).cast("bigint")
+
+    def repeated(words):
+        n = F.size(words).cast("bigint")
+        first = F.pmod(steps, n)
+        period = 1 + F.floor((n - first) / (3 + F.pmod(steps, F.lit(8)))).cast("bigint")
+        tail = F.transform(F.sequence(first, n - 1), lambda i: first + F.pmod(i - first, period))
+        return F.concat(F.slice(words, F.lit(1), first.cast("int")), F.transform(tail, lambda i: F.get(words, i.cast("int"))))
+
+    changed = bind(words_of(F.col("text")), lambda w: F.when(F.size(w) > 0, F.array_join(repeated(w), " ")).otherwise(F.lit("")))
+    return docs.select("doc_id", F.when(mark % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op11_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, greatest and digest of the periodic runs of every document, and
+    digest of its words without their repeats."""
+    out = periodic_runs(planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    greatest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period)), "")
+    return out.withColumn("top", greatest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"), F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+@_query
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    out = search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
+    return out.select("query.item_id", "rank", "doc_id", "score")
+
+
+@_query
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and place of every piece of every document."""
+    return packed(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end=2, size=1024, ids=False)

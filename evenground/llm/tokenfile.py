@@ -15,13 +15,16 @@ them.  So the files lie in any store that Spark writes to.
 
 from __future__ import annotations
 
+import codecs
+import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,8 +35,14 @@ from evenground.session import fresh_path, small_side, written
 MAGIC = b"TKV1"
 #: pattern of the pre-tokens of a byte-level vocabulary
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: the same for texts of ASCII alone
+ASCII_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"""
 BLOCK_IDS = 1 << 18
-CACHE = 600_000
+#: pre-tokens that a worker keeps, and the characters of the longest
+CACHE = 1_500_000
+LONGEST = 100
+#: texts of about this many bytes are encoded together
+CHUNK_BYTES = 12_000_000
 
 # lengths of the four numbers of each control byte
 SIZES = np.stack([(np.arange(256) >> shift & 3) + 1 for shift in (0, 2, 4, 6)], axis=1).astype(np.int64)
@@ -67,79 +76,149 @@ def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     return lengths, out[:n_ids]
 
 
-class Known(dict):
-    """Ids, as bytes, of a space and a stretch of text without spaces, from the
-    model where they are new.
-
-    Pre-tokens reach over a space only where white space follows white space,
-    so the stretches of any other text can be encoded apart.
-    """
-
-    def __init__(self, model, code: str, findall) -> None:
-        self.tokenize, self.code, self.findall = model.tokenize, code, findall
-        # bytes as the characters of a byte-level vocabulary: printable ones as
-        # they are, the others in order from 256 on
-        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        others = [b for b in range(256) if b not in plain]
-        self.signs = {b: chr(256 + k) for k, b in enumerate(others)}
-        self.words: dict[str, bytes] = {}
-
-    def word(self, part: str) -> bytes:
-        found = self.words.get(part)
-        if found is None:
-            name = part.encode().decode("latin-1").translate(self.signs)
-            found = self.words[part] = array(self.code, [t.id for t in self.tokenize(name)]).tobytes()
-        return found
-
-    def plain(self, text: str) -> bytes:
-        return b"".join([self.word(p) for p in self.findall(text)])
-
-    def __missing__(self, part: str) -> bytes:
-        if part.isalpha():
-            found = self.word(" " + part)
-        elif part[-1:] in (",", ".") and part[:-1].isalpha():
-            found = self.word(" " + part[:-1]) + self.word(part[-1])
-        else:
-            found = self.plain(" " + part)
-        self[part] = found
-        return found
-
-
 class Encoder:
     """Ids of whole texts with the tokenizers library.
 
-    Texts are split into pre-tokens here, the library's model merges each new
-    one, and the ids of those seen before are kept.  A text that may hold a
-    special token, and any other kind of tokenizer, goes to the library as a whole.
+    Texts are split into pre-tokens here, the library merges the new ones of a
+    chunk in one call, and the ids of those seen before are kept.  Pre-tokens
+    reach over a space only where white space follows white space, so each
+    different stretch between spaces is looked at once a chunk, and the ids of the
+    texts are gathered from those of the stretches.  A text with a stretch that
+    ends in white space is split into pre-tokens as a whole.  A text that may hold
+    a special token, and any other kind of tokenizer, goes to the library as it is.
     """
 
     def __init__(self, path: str) -> None:
         import json
 
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         settings = json.loads(self.tokenizer.to_str())
         self.special = [t["content"] for t in settings.get("added_tokens", [])]
         pre = settings.get("pre_tokenizer") or {}
-        self.split = settings.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known = Known(self.tokenizer.model, "HI"[self.width // 4], regex.compile(PATTERN).findall)
-        self.two_spaces = regex.compile(r"\s\s").search
-
-    def encode(self, text: str) -> bytes:
-        """Ids as unsigned numbers of ``width`` bytes, low byte first."""
-        if not self.split or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
-        known = self.known
-        if len(known) + len(known.words) > CACHE:
-            known.clear()
-            known.words.clear()
-        if not text or self.two_spaces(text):
-            return known.plain(text)
-        first, *others = text.split(" ")
-        return known.plain(first) + b"".join([known[p] for p in others])
+        self.type = np.dtype(f"<u{self.width}")
+        self.findall, self.find_ascii = regex.compile(PATTERN).findall, re.compile(ASCII_PATTERN, re.ASCII).findall
+        # bytes as the characters of a byte-level vocabulary: printable ones as
+        # they are, the others in order from 256 on
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = [b for b in range(256) if b not in plain]
+        self.signs = "".join(chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256))
+        # the library without its own split: pre-tokens stand between line breaks
+        self.mark = self.signs[10]
+        self.mark_id = self.tokenizer.token_to_id(self.mark)
+        self.split = (
+            settings.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex")
+            and not pre.get("add_prefix_space") and self.mark_id is not None)
+        self.merger = Tokenizer.from_file(path)
+        self.merger.pre_tokenizer = pre_tokenizers.Split(self.mark, "isolated")
+        self.words: dict[str, bytes] = {}
+
+    def _name(self, words: str) -> str:
+        return codecs.charmap_decode(words.encode(), "strict", self.signs)[0]
+
+    def _learn(self, words: set[str]) -> None:
+        """Ids of pre-tokens: one call for those without a line break."""
+        lines = [w for w in words if "\n" in w]
+        for w in lines:
+            self.words[w] = np.array([t.id for t in self.tokenizer.model.tokenize(self._name(w))], self.type).tobytes()
+        others = list(words.difference(lines))
+        if not others:
+            return
+        ids = np.array(self.merger.encode_batch_fast([self._name("\n".join(others))], add_special_tokens=False)[0].ids, self.type)
+        raw, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * self.width).tolist()
+        begins = [0, *[e + self.width for e in ends]]
+        self.words.update(zip(others, [raw[a:b] for a, b in zip(begins, [*ends, len(raw)])]))
+
+    def _pre_tokens(self, text: str) -> list[str]:
+        return self.find_ascii(text) if text.isascii() else self.findall(text)
+
+    def _stretch(self, part: str) -> list[str]:
+        """Pre-tokens of a space and a stretch of text."""
+        if part[-1] in ",." and part[:-1].isalpha():
+            return [" " + part[:-1], part[-1]]
+        return self._pre_tokens(" " + part)
+
+    def _ids(self, words: list[str], found: list[list[str]]) -> list[bytes]:
+        """Ids of pre-tokens and of lists of pre-tokens."""
+        wanted = set(chain(words, chain.from_iterable(found)))
+        if len(self.words) + len(wanted) > CACHE:
+            self.words.clear()
+        self._learn(wanted.difference(self.words))
+        word = self.words.__getitem__
+        out = [*map(word, words), *[b"".join(map(word, f)) for f in found]]
+        for w in [w for w in wanted if len(w) > LONGEST]:
+            del self.words[w]
+        return out
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text."""
+        if not self.split:
+            return [self._whole(t) for t in texts.to_pylist()]
+        if not len(texts):
+            return []
+        listed = pa.compute.split_pattern(texts, " ")
+        starts = listed.offsets.to_numpy()[:-1] - listed.offsets[0].as_py()
+        parts = listed.flatten()
+        coded = parts.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        stretches = coded.dictionary
+        alone = pa.compute.utf8_is_alpha(stretches)
+        odd = pa.compute.or_(pa.compute.equal(stretches, ""), pa.compute.utf8_is_space(pa.compute.utf8_slice_codeunits(stretches, -1)))
+        alone, odd = (x.to_numpy(zero_copy_only=False) for x in (alone, odd))
+        words = _strings(pa.compute.binary_join_element_wise("", stretches.filter(pa.array(alone)), " "))
+        others = [[] if o else self._stretch(s) for s, o in zip(_strings(stretches.filter(pa.array(~alone))), odd[~alone].tolist())]
+        # a text's first stretch has no space before it: an entry of its own
+        firsts = [self._pre_tokens(f) for f in _strings(parts.take(pa.array(starts)))]
+        entries = self._ids(words, others + firsts)
+        number = np.empty(len(stretches), np.int64)
+        number[np.concatenate((np.flatnonzero(alone), np.flatnonzero(~alone)))] = np.arange(len(stretches))
+        bad = np.logical_or.reduceat(odd[codes], starts) & (np.diff(np.append(starts, len(codes))) > 1)
+        codes = number[codes]
+        codes[starts] = len(stretches) + np.arange(len(firsts))
+        flat = np.frombuffer(b"".join(entries), self.type)
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // self.width
+        begins, each = np.cumsum(sizes) - sizes, sizes[codes]
+        ends = np.cumsum(each)
+        gathered = flat[np.repeat(begins[codes] - ends + each, each) + np.arange(int(ends[-1]))]
+        stops = ends[np.append(starts[1:], len(codes)) - 1].tolist()
+        out = [gathered[a:b] for a, b in zip([0, *stops[:-1]], stops)]
+        for k in np.flatnonzero(bad).tolist():
+            out[k] = np.frombuffer(self._ids([], [self._pre_tokens(texts[k].as_py())])[0], self.type)
+        if self.special:
+            whole = pa.compute.match_substring_regex(texts, "|".join(map(re.escape, self.special))).to_numpy(zero_copy_only=False)
+            for k in np.flatnonzero(whole).tolist():
+                out[k] = self._whole(texts[k].as_py())
+        return out
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
+
+
+def _strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def encoded_chunks(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """Keys and ids of each text of batches ``key_, text_``, some megabytes of
+    text at a time."""
+    encoder = kept_in_worker(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
+
+    def chunk(held: list[pa.RecordBatch]) -> tuple[pa.Array, list[np.ndarray]]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        return rows.column(0).combine_chunks(), encoder.encode(rows.column(1).cast(pa.large_string()).combine_chunks().cast(pa.string()))
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pa.compute.sum(pa.compute.binary_length(batch.column(1))).as_py() or 0
+        if size >= CHUNK_BYTES:
+            yield chunk(held)
+            held, size = [], 0
+    if held:
+        yield chunk(held)
 
 
 def encode(docs: DataFrame, tokenizer: str, key: str, text: str, end: int | None) -> DataFrame:
@@ -148,11 +227,11 @@ def encode(docs: DataFrame, tokenizer: str, key: str, text: str, end: int | None
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept_in_worker(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
-        last = np.array([] if end is None else [end], f"<u{encoder.width}").tobytes()
-        for batch in batches:
-            ids = [encoder.encode(t) + last for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([encoder.width] * len(ids), pa.int32())], names=["key_", "ids", "width"])
+        for keys, ids in encoded_chunks(batches, tokenizer):
+            width = ids[0].itemsize if ids else 2
+            last = np.array([] if end is None else [end], f"<u{width}").tobytes()
+            values = pa.array([i.tobytes() + last for i in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, values, pa.array([width] * len(ids), pa.int32())], names=["key_", "ids", "width"])
 
     rows = docs.select(F.col(key).alias("key_"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_"))
     return rows.mapInArrow(run, f"key_ {docs.schema[key].dataType.simpleString()}, ids binary, width int")
