@@ -153,7 +153,11 @@ class Encoder:
             del self.words[w]
         return out
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+    def encode(self, text: str) -> bytes:
+        """Ids of one text as unsigned numbers of ``width`` bytes, low byte first."""
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text."""
         if not self.split:
             return [self._whole(t) for t in texts.to_pylist()]
@@ -208,7 +212,7 @@ def encoded_chunks(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterato
 
     def chunk(held: list[pa.RecordBatch]) -> tuple[pa.Array, list[np.ndarray]]:
         rows = pa.Table.from_batches(held).combine_chunks()
-        return rows.column(0).combine_chunks(), encoder.encode(rows.column(1).cast(pa.large_string()).combine_chunks().cast(pa.string()))
+        return rows.column(0).combine_chunks(), encoder.encode_all(rows.column(1).cast(pa.large_string()).combine_chunks().cast(pa.string()))
 
     held, size = [], 0
     for batch in batches:

@@ -9,10 +9,11 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from evenground.llm import packing, queries, ranked, runs
+from evenground.llm import packing, queries, ranked, runs, tokenfile
 from evenground.llm.common import tokenizer_file
 
 TOKENIZER = tokenizer_file("byte_bpe_50k.json")
@@ -250,6 +251,16 @@ def test_plan(kind):
                   [(i, 0, 0, int(n), 0) for i, n in enumerate(lengths)])
 
 
+def test_texts_of_a_chunk_are_encoded_as_the_library_does():
+    encoder = tokenfile.Encoder(TOKENIZER)
+    rnd = random.Random(8)
+    parts = ["a", "don't", "the,", " ", "  ", "\n", "\n\n", "\t", "12", "x_1", "é", "ß.", "日本", "\u00a0", "\x1c", "\x85", "'s", "!?", "🙂", "\r\n", "", "<|endoftext|>", "Ċ", "Ġ"]
+    some = ["".join(rnd.choice(parts) + rnd.choice(["", " "]) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    got = encoder.encode_all(pa.array(some))
+    assert [g.tolist() for g in got] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+    assert encoder.encode_all(pa.array([], pa.string())) == []
+
+
 def test_counts_of_exact_patterns():
     """A histogram made of patterns is used up by the fit."""
     histogram = np.zeros(101, np.int64)
