@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +58,39 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_RECORDS: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new folder name for a table written by a job."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _RECORDS:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def recorded_paths() -> Iterator[list[str]]:
+    """The folder names given out inside the block."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS[:] = [r for r in _RECORDS if r is not paths]
+
+
+def discard_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete written folders that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` after their last reader has been written."""
+    for table in tables:
+        discard_paths(table.sparkSession, {os.path.dirname(f) for f in table.inputFiles()})
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
