@@ -34,6 +34,8 @@ from evenground.llm.pieces import mix
 from evenground.session import fresh_path
 
 UNIT_BYTES = 12_000_000
+#: texts of a unit whose bytes are hashed at once
+SLICE_BYTES = 1_000_000
 BUCKET_TOKENS = 2_000_000
 BASE = 0x9E3779B97F4A7C15
 BACK = pow(BASE, -1, 1 << 64)
@@ -66,6 +68,15 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words, upto, END), np.diff(np.concatenate(([0], upto))) + 1
 
 
+def sliced_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The same, some texts at a time: the arrays of eight bytes for each byte of
+    text are then as long as a slice, not as a unit."""
+    sizes = np.cumsum([len(t) + 1 for t in texts])
+    cuts = [0, *(np.flatnonzero(np.diff(sizes // SLICE_BYTES)) + 1).tolist(), len(texts)]
+    parts = [word_hashes(texts[a:b]) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
+    return np.concatenate([w for w, _ in parts]), np.concatenate([n for _, n in parts])
+
+
 def pair_hashes(tokens: np.ndarray) -> np.ndarray:
     """Hash of each token with the one before; the first of all follows an end."""
     before = np.concatenate((np.array([END]), tokens[:-1]))
@@ -88,7 +99,7 @@ def units(docs: DataFrame, key: str, text: str, held_out) -> DataFrame:
         keys, held, texts, size = [], [], [], 0
 
         def emit() -> pa.RecordBatch:
-            tokens, lengths = word_hashes(texts)
+            tokens, lengths = sliced_hashes(texts)
             words, place = np.unique(tokens, return_inverse=True)
             return pa.RecordBatch.from_arrays([
                 pa.array([part << 32 | number], pa.int64()), pa.array([pa.concat_arrays(keys).to_pylist()], pa.list_(keys[0].type)),
