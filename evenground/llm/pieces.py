@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenground.llm.common import text_batches
+from evenground.llm.common import kept_in_worker, text_batches
 
 SIGN = "▁"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -195,7 +195,7 @@ def sampled_pieces(docs: DataFrame, model: str, key: str = "doc_id", text: str =
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(model, theta)
+        lattice = kept_in_worker(f"lattice {model} {theta}", lambda: Lattice(model, theta))
 
         def emit(keys: list, names: list, texts: list[str]) -> pa.RecordBatch:
             seeds = np.array([xxhash.xxh64_intdigest("" if n is None else n, seed) for n in names], np.uint64)
