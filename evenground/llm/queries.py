@@ -118,7 +118,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document under strings of 400 bytes that stand elsewhere."""
-    return remove_repeats(_table(spark, sf_dir, "documents"))
+    return remove_repeats(_table(spark, sf_dir, "documents")).withColumn("has_repeat", F.col("n_removed") > 0)
 
 
 def planted_runs(docs: DataFrame) -> DataFrame:
