@@ -9,7 +9,7 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenground.session import written
+from evenground.session import discard, written
 
 #: rows of one Arrow batch that carry whole texts
 TEXT_ROWS = 256
@@ -70,6 +70,7 @@ def components(edges: DataFrame) -> DataFrame:
         following = small.unionByName(low.selectExpr("a", "m AS b")).selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct()
         following = written(following, "edges")
         after = _state(following)
+        discard(now, large)
         now, before, state = following, state, after
         if after == before:
             break

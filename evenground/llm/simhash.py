@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from evenground.llm.common import components, text_batches
 from evenground.llm.pieces import FACTOR, mix
-from evenground.session import written
+from evenground.session import discard, written
 
 BITS = 64
 SEED = 42
@@ -173,8 +173,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 
 def _described(docs: DataFrame, keys: list[str], text: str, size: int, bands: int, rows: int) -> DataFrame:
-    """``keys``, the set of shingles as ``shingles``, its checksum ``sid``, its
-    size ``n``, the fingerprint ``fp`` and ``bands`` of ``rows`` least hashes."""
+    """``keys``, the checksum ``sid`` of the set of shingles, its size ``n``,
+    the fingerprint ``fp`` and ``bands`` of ``rows`` least hashes."""
     text_batches(docs.sparkSession)
     fields = [docs.schema[k] for k in keys]
 
@@ -187,15 +187,31 @@ def _described(docs: DataFrame, keys: list[str], text: str, size: int, bands: in
                 own = np.unique(hashes)
                 least = np.array([mix(own + s).min() for s in steps] if len(own) else [0] * len(steps), np.uint64).reshape(bands, rows)
                 named = [_signed(xxhash.xxh64_intdigest(x.tobytes(), k)) for k, x in enumerate(least)]
-                out.append((own.view(np.int64), _signed(xxhash.xxh64_intdigest(own.tobytes(), SEED)), len(own), _signed(voted(hashes)), named))
-            kinds = [pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                out.append((_set_name(own), len(own), _signed(voted(hashes)), named))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             columns = [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), *columns], [*keys, "shingles", "sid", "n", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), *columns], [*keys, "sid", "n", "fp", "bands"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "shingles array<bigint>, sid bigint, n bigint, fp bigint, bands array<bigint>"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "sid bigint, n bigint, fp bigint, bands array<bigint>"])
     return docs.select(*keys, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_")).mapInArrow(run, schema)
 
 
+def _set_name(own: np.ndarray) -> int:
+    return _signed(xxhash.xxh64_intdigest(own.tobytes(), SEED))
+
+
+def _sets(docs: DataFrame, text: str, size: int) -> DataFrame:
+    """``sid`` and ``shingles`` of each row's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, size)) for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_set_name(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["sid", "shingles"])
+
+    return docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_")).mapInArrow(run, "sid bigint, shingles array<bigint>")
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The ``pairs (a, b)`` of at least this similarity."""
     one, two = sets.selectExpr("sid AS a", "shingles AS x"), sets.selectExpr("sid AS b", "shingles AS y")
@@ -216,7 +232,7 @@ def similar(docs: DataFrame, key: str, text: str = "text", size: int = 5, least:
     bucket by bucket, so that the cost stays in proportion to the members.
     NULL texts count as empty; texts without words are equal to each other.
     """
-    rows_ = written(_described(docs, [key, *carry], text, size, bands, rows), "shingles")
+    rows_ = written(_described(docs, [key, *carry], text, size, bands, rows), "described")
     nodes = written(rows_.groupBy("sid").agg(F.min(key).alias("first_")), "nodes")
     # one row for each set
     own = rows_.join(nodes.select(F.col("first_").alias(key)), key, "left_semi")
@@ -227,7 +243,9 @@ def similar(docs: DataFrame, key: str, text: str = "text", size: int = 5, least:
     members = own.select("sid", "n", F.posexplode("bands").alias("t", "v")).unionByName(by_fp).unionByName(stars)
     full = members.groupBy("t", "v").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("t", "v")
     members = written(members.join(full, ["t", "v"], "left_semi"), "buckets")
-    sets = own.join(members.select("sid").distinct(), "sid", "left_semi").select("sid", "shingles")
+    # the texts of sets that share a bucket are read again, one for each set
+    shared = nodes.join(members.select("sid").distinct(), "sid", "left_semi").select(F.col("first_").alias(key))
+    sets = written(_sets(docs.select(key, text).join(shared, key, "left_semi"), text, size), "sets")
 
     def around(buckets: DataFrame, order) -> DataFrame:
         centre = buckets.groupBy("t", "v").agg(F.min(F.struct(order.alias("o"), "sid", "n")).alias("c"))
@@ -244,7 +262,9 @@ def similar(docs: DataFrame, key: str, text: str = "text", size: int = 5, least:
     for k in (1, 2):
         further = further.unionByName(around(rest, F.xxhash64("sid", "t", F.lit(k))))
     found = found.unionByName(_alike(fitting(further).join(found, ["a", "b"], "left_anti"), sets, least))
+    discard(members, sets, pairs, rest)
     roots = components(found).withColumnRenamed("node", "sid")
+    discard(found)
     linked = nodes.join(roots, "sid")
     linked = linked.join(linked.groupBy("root").agg(F.min("first_").alias("least_")), "root").select("sid", "least_")
     named = nodes.join(linked, "sid", "left").select("sid", F.coalesce("least_", "first_").alias("component_id"))
