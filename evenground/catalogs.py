@@ -291,15 +291,43 @@ def _pairs(text: str) -> list[tuple[str, str]]:
     return [tuple(line.split()) for line in text.strip().splitlines()]
 
 
-def variable_codes() -> dict[str, str]:
-    """Clean name -> survey code for the supported years (distinct names)."""
+# --------------------------------------------------------------------------
+# Codes of the 2018 survey where it differs, variables that only
+# its catalog names, and later variables that it lacks.
+# --------------------------------------------------------------------------
+_CODES_2018 = """
+num_25_older DP02_0058
+num_bach DP02_0064
+pct_bach DP02_0064P
+num_hs_or_higher DP02_0066
+pct_hs_or_higher DP02_0066P
+num_civ_pop_18_older DP02_0068
+num_veterans DP02_0069
+pct_veterans DP02_0069P
+num_disability DP02_0071
+pct_disability DP02_0071P
+num_under18_occ_units_owners B25012_003
+num_under18_occ_units_renters B25012_011
+num_pov_foreign_born B17025_006
+"""
+_NOT_IN_2018 = ("num_civ_pop_in_labor_force", "num_less_than_9th_grade", "num_9th_to_12th_grade")
+CATALOG_YEARS = ("2022", "2021", "2019", "2018")
+
+
+def variable_codes(year: str = DEFAULT_YEAR) -> dict[str, str]:
+    """Clean name -> survey code of a year's catalog (distinct names)."""
+    if str(year) not in CATALOG_YEARS:
+        raise ValueError(f"no variable catalog for {year}")
     cells = [
         (f"num_{age}_{group}_{sex}", f"B01001{letter}_{first + i:03d}")
         for letter, (group, _) in _UNDER18_TABLES.items()
         for sex, first in _SEX_FIRST_CELL.items()
         for i, age in enumerate(_AGES)
     ]
-    return dict(_pairs(_TOTAL_CODES) + _pairs(_UNDER18_CODES) + cells + _pairs(_POVERTY_CODES))
+    codes = dict(_pairs(_TOTAL_CODES) + _pairs(_UNDER18_CODES) + cells + _pairs(_POVERTY_CODES))
+    if str(year) == "2018":
+        codes = {n: c for n, c in codes.items() if n not in _NOT_IN_2018} | dict(_pairs(_CODES_2018))
+    return codes
 
 
 # --------------------------------------------------------------------------

@@ -68,11 +68,15 @@ def with_bounds(rings: Column) -> Column:
 _ON_EDGE = 1 << 20
 
 
-def strictly_inside(edge_array: Column, x: Column, y: Column, covered: Column | int = 0) -> Column:
+def edge_turn(x1: Column, y1: Column, x2: Column, y2: Column, x: Column, y: Column) -> Column:
+    """Positive left of the edge, negative right of it, zero on its line."""
+    return (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+
+
+def strictly_inside(edge_array: Column, x: Column, y: Column) -> Column:
     """Even-odd test; a point on an edge or vertex is not inside.
 
-    ``covered`` is the number of rings known to hold the point, whose edges
-    are left out.  One pass: each edge adds one per crossing of the ray to the right, and a
+    One pass: each edge adds one per crossing of the ray to the right, and a
     large even number when the point lies on it.
     """
 
@@ -80,7 +84,7 @@ def strictly_inside(edge_array: Column, x: Column, y: Column, covered: Column |
         above = (e.y1 > y) & (e.y2 > y)
         below = (e.y1 < y) & (e.y2 < y)
         left = (e.x1 < x) & (e.x2 < x)
-        turn = (e.x2 - e.x1) * (y - e.y1) - (e.y2 - e.y1) * (x - e.x1)
+        turn = edge_turn(e.x1, e.y1, e.x2, e.y2, x, y)
         # with the edge neither above, below nor left of the point, zero turn
         # means that it lies on the edge, unless the edge is all to the right
         touches = (turn == 0) & ((e.x1 <= x) | (e.x2 <= x))
@@ -89,8 +93,22 @@ def strictly_inside(edge_array: Column, x: Column, y: Column, covered: Column |
             crosses, F.lit(1)
         ).otherwise(F.lit(0))
 
-    start = F.lit(covered) if isinstance(covered, int) else covered
-    return F.aggregate(edge_array, start, step, lambda t: (t < _ON_EDGE) & (t % 2 == 1))
+    return F.aggregate(edge_array, F.lit(0), step, lambda t: (t < _ON_EDGE) & (t % 2 == 1))
+
+
+def separates(e: Column, x: Column, y: Column, to_x: Column, to_y: Column) -> Column:
+    """1 when the edge separates a point from another place, 0 when not, and a
+    large negative number when the point lies on the edge.
+
+    The line between the two crosses the edge when both ends of each lie on
+    different sides of the other; a zero counts as the right side, for an end
+    that two edges share as for the place.
+    """
+    turn = edge_turn(e.x1, e.y1, e.x2, e.y2, x, y)
+    within = x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2)) & y.between(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2))
+    apart = (turn > 0) != (edge_turn(e.x1, e.y1, e.x2, e.y2, to_x, to_y) > 0)
+    split = (edge_turn(x, y, to_x, to_y, e.x1, e.y1) > 0) != (edge_turn(x, y, to_x, to_y, e.x2, e.y2) > 0)
+    return F.when((turn == 0) & within, F.lit(-_ON_EDGE)).when(apart & split, F.lit(1)).otherwise(F.lit(0))
 
 
 def signed_ring_area(ring: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from evenground.catalogs import (
     BASELINES, BIG_PLACE_POPULATION, CITY_PERCENTS, DC_CITY, DC_CITY_NAME, DC_COUNTY, DC_NAMES, DC_STATE,
     DERIVED_PERCENTS, MERGED_PLACES, NATION_GEOID, PERCENTS, REPAIRED_COUNTY, REPAIRED_YEARS,
-    REPORTED_PERCENTS, SUMS, SUMS_OF_SUMS,
+    REPORTED_PERCENTS, SUMS, SUMS_OF_SUMS, variable_codes,
 )
 from evenground.functions.margins import (
     moe_prop, moe_sum, moe_sum_agg, percent, percent_margin, plain_percent, repaired_margin,
@@ -142,7 +142,10 @@ def survey_level(landing: DataFrame, codes: Mapping[str, str], level: str, year:
         df = df.where(in_states(state_of(F.col("GEOID"))))
     if level == "tract":
         df = tract_columns(repair_county(df, year), year)
-    return add_percents(add_sums(fill_controlled(df)))
+    # what a year's catalog doesn't name is missing, and so is what needs it
+    lacking = [n for n in variable_codes() if n not in codes]
+    df = fill_controlled(df).selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS {n}{m}" for n in lacking for m in ("", "_margin")])
+    return add_percents(add_sums(df))
 
 
 # --- display names ---------------------------------------------------------

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenground.catalogs import COVERED_SHARE
-from evenground.functions.geometry import area, with_bounds
+from evenground.functions.geometry import area, edges, with_bounds
+from evenground.session import written
 
 
 def _boxes(polygons: DataFrame, id_column: str, name: str) -> DataFrame:
@@ -150,3 +151,83 @@ def covered_tracts(tracts: DataFrame, places: DataFrame, share: float = COVERED_
 def dissolve(polygons: DataFrame, key: str) -> DataFrame:
     """One multi-part polygon per key from parts that do not overlap."""
     return polygons.groupBy(key).agg(F.flatten(F.collect_list("rings")).alias("rings"))
+
+
+def outline_edges(polygons: DataFrame, key: str) -> DataFrame:
+    """Directed edges ``(key, x1, y1, x2, y2)`` of the outlines of each key's parts.
+
+    Parts turn counter-clockwise and their holes clockwise, so an edge that two
+    parts share runs both ways and cancels in a grouped count.  Every edge is
+    one row of a sum; nothing gathers the parts of a key.
+    """
+    each = polygons.select(key, F.inline(edges(F.col("rings"))))
+    ahead = F.struct("x1", "y1") < F.struct("x2", "y2")
+    ends = [F.when(ahead, F.col(a)).otherwise(F.col(b)).alias(n) for a, b, n in (("x1", "x2", "xa"), ("y1", "y2", "ya"), ("x2", "x1", "xb"), ("y2", "y1", "yb"))]
+    net = each.select(key, *ends, F.when(ahead, F.lit(1)).otherwise(F.lit(-1)).alias("way")).groupBy(key, "xa", "ya", "xb", "yb").agg(F.sum("way").alias("way"))
+    copies = net.where("way != 0").withColumn("copy_", F.explode(F.sequence(F.lit(1), F.abs("way").cast("int"))))
+    forth = F.col("way") > 0
+    return copies.select(key, *[F.when(forth, F.col(a)).otherwise(F.col(b)).alias(n) for a, b, n in (
+        ("xa", "xb", "x1"), ("ya", "yb", "y1"), ("xb", "xa", "x2"), ("yb", "ya", "y2"))])
+
+
+def _followed(outline: DataFrame, key: str) -> DataFrame:
+    """``edge`` number, its start and the number of the ``next`` edge.
+
+    As many edges arrive at a vertex as leave it.  Around a vertex they
+    alternate; each that arrives goes on with the one that leaves next in
+    clockwise order, which keeps parts that touch in a point apart.
+    """
+    order = Window.partitionBy(key, "x", "y").orderBy("angle", "edge")
+    numbered = written(outline.withColumn("edge", F.monotonically_increasing_id()), "outline")
+
+    def ends(x: str, y: str, ox: str, oy: str, name: str) -> DataFrame:
+        angle = F.atan2(F.col(oy) - F.col(y), F.col(ox) - F.col(x))
+        at = numbered.select(key, "edge", F.col(x).alias("x"), F.col(y).alias("y"), angle.alias("angle"))
+        return at.select(key, "x", "y", F.col("edge").alias(name), F.col("angle").alias(f"{name}_angle"), (F.row_number().over(order) - 1).alias("rank"))
+
+    into, out = ends("x2", "y2", "x1", "y1", "arrives"), ends("x1", "y1", "x2", "y2", "leaves")
+    least = out.where("rank = 0").select(key, "x", "y", F.col("leaves_angle").alias("first_out"))
+    counted = into.groupBy(key, "x", "y").agg(F.count("*").cast("int").alias("n"), F.min("arrives_angle").alias("first_in"))
+    # the smallest angle may belong to an edge that arrives; then the last that leaves comes before it
+    shift = F.when(F.col("first_in") < F.col("first_out"), F.lit(-1)).otherwise(F.lit(0))
+    paired = into.join(counted.join(least, [key, "x", "y"]).select(key, "x", "y", "n", shift.alias("shift")), [key, "x", "y"]).withColumn(
+        "rank", F.pmod(F.col("rank") + F.col("shift"), F.col("n")))
+    following = paired.join(out, [key, "x", "y", "rank"]).select(F.col("arrives").alias("edge"), F.col("leaves").alias("next"))
+    return numbered.join(following, "edge").select(key, "edge", "next", "x1", "y1")
+
+
+def chained_rings(outline: DataFrame, key: str) -> DataFrame:
+    """``(key, rings)`` from directed edges, by pointer doubling.
+
+    After k rounds an edge knows the smallest edge number among the 2^k that
+    follow it, and how far away that is.  When the edges of every ring agree,
+    the smallest number names the ring and the distances are the order, so a
+    ring of n edges takes log2 n rounds of one equi-join each, written to the shared
+    folder.
+    """
+    start = written(_followed(outline, key), "ring-edges")
+    state = start.select("edge", "next", F.col("edge").alias("ring"), F.lit(0).cast("bigint").alias("away"))
+    span = 1
+    while True:
+        ahead = state.select(F.col("edge").alias("next"), F.col("next").alias("next_"), F.col("ring").alias("ring_"), F.col("away").alias("away_"))
+        joined = state.join(ahead, "next")
+        nearer = F.col("ring_") < F.col("ring")
+        state = written(joined.select(
+            "edge", F.col("next_").alias("next"), F.least("ring", "ring_").alias("ring"),
+            F.when(nearer, F.col("away_") + span).otherwise(F.col("away")).alias("away"), (F.col("ring") != F.col("ring_")).alias("open")), "ring-state")
+        span *= 2
+        if not state.where("open").limit(1).count():
+            break
+    placed = start.drop("next").join(state.select("edge", "ring", "away"), "edge")
+    # the edge that names a ring comes first, then the one furthest from coming round to it
+    place = F.when(F.col("away") == 0, F.lit(0)).otherwise(-F.col("away"))
+    first = F.when(F.col("edge") == F.col("ring"), F.lit(0)).otherwise(F.lit(1))
+    rings = placed.groupBy(key, "ring").agg(F.array_sort(F.collect_list(F.struct(first.alias("f"), place.alias("p"), F.col("x1").alias("x"), F.col("y1").alias("y")))).alias("points"))
+    plain = rings.select(key, "ring", F.transform("points", lambda p: F.struct(p.x.alias("x"), p.y.alias("y"))).alias("points"))
+    return plain.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("ring", "points"))), lambda r: r.points).alias("rings"))
+
+
+def dissolved(polygons: DataFrame, key: str) -> DataFrame:
+    """One polygon per key, with its outline only, from parts that don't overlap
+    and share their borders' vertices."""
+    return chained_rings(outline_edges(polygons, key), key)

@@ -1,11 +1,17 @@
 """Point-in-polygon joins on a grid-cell index, and area detection.
 
-The index has one row per grid cell with the polygons that reach into it.  A
-polygon that covers a whole cell is stored without edges and needs no test; a
-polygon whose border passes through a cell is stored with only those edges
-that a ray to the right of a point in this cell can meet.  A point looks up
-one cell, so it meets at most one index row and unmatched points survive a
-left join without a point id.
+Each polygon has a grid of its own scale, a power of four that follows from its
+size and its number of edges, so a state and an islet both have cells in
+proportion to their edges.  The index has one row per scale and cell with the
+polygons that reach into it.  A polygon that covers a whole cell is stored
+without edges.  One whose border passes through a cell is stored with the edges
+that cross the cell, and with one bit that says whether it holds the cell's
+reference point: a point is inside like the reference point unless an odd number
+of edges cross the line between the two.  The bits of a row of cells come from a
+running sum of the edges that cross the line through their reference points.
+
+A point looks up one cell for each scale in use, so it meets at most one index
+row per scale, and unmatched points survive left joins without a point id.
 
 The join has two forms, chosen by an upper bound of the index size, which one
 aggregate over the polygons gives before the index is built:
@@ -16,7 +22,6 @@ aggregate over the polygons gives before the index is built:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,126 +30,177 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from evenground.catalogs import NATION_GEOID, NATION_NAME
-from evenground.functions.geometry import strictly_inside, with_bounds
+from evenground.functions.geometry import edge_turn, edges, separates
 from evenground.operators.clean import usable
 from evenground.session import durable, small_side
 
+#: cells along the longer side of a small polygon, and edges for each cell of a large one
 CELLS_PER_SIDE = 4
-MAX_ENTRIES = 400_000_000
+EDGES_PER_CELL = 2
 ENTRY_BYTES = 160
 FAR = 2.0**52
 BROADCAST_BYTES = 512 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
+# place of the reference point in its cell: fractions that no border written in
+# decimals passes through
+REF_X, REF_Y = 0.3819660112501051, 0.6180339887498949
 
 
 @dataclass(frozen=True)
 class CellIndex:
-    """Index table, its cell size and an upper bound of its size in memory."""
+    """Index table, the exponents of its cell sizes and an upper bound of its
+    size in memory."""
 
     table: DataFrame
-    cell: float
+    scales: tuple[int, ...]
     bytes_bound: int
 
     def save(self, path: str) -> None:
-        self.table.withColumns(
-            {"cell": F.lit(self.cell), "bytes_bound": F.lit(self.bytes_bound)}
-        ).write.mode("overwrite").parquet(path)
+        """The rows by scale; the bound stands in the folders' names, so that it
+        is there without a row, too."""
+        self.table.withColumn("bytes_bound", F.lit(self.bytes_bound)).write.mode("overwrite").partitionBy("bytes_bound", "scale").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> CellIndex:
         table = spark.read.parquet(path)
-        head = table.select("cell", "bytes_bound").first()
-        if head is None:
-            return cls(table.drop("cell", "bytes_bound"), 1.0, 0)
-        return cls(table.drop("cell", "bytes_bound"), head["cell"], head["bytes_bound"])
+        if "scale" not in table.columns:
+            return cls(table.withColumn("scale", F.lit(0)), (), 0)
+        found = table.select("scale", "bytes_bound").distinct().collect()  # one row per scale
+        return cls(table.drop("bytes_bound"), tuple(sorted(r["scale"] for r in found)), max((r["bytes_bound"] for r in found), default=0))
 
 
-def _cell_no(c: Column, cell: float) -> Column:
-    # cell sizes are powers of two, so the product is exact; a number too far
+def _cell_no(c: Column, cell: float | Column) -> Column:
+    # cell sizes are powers of two, so the quotient is exact; a number too far
     # away for any polygon has no cell
-    number = c * (1.0 / cell)
+    number = c / cell
     return F.when(F.abs(number) < FAR, F.floor(number))
 
 
-def _ring_edges(polygons: DataFrame, id_column: str) -> DataFrame:
-    """One row per ring.  A point is in a polygon when an odd number of its
-    rings hold it, so rings can be indexed apart: parts that lie far from each
-    other then do not reach into each other's cells."""
-    rings = polygons.select(F.col(id_column).alias("poly_id"), F.posexplode("rings").alias("ring", "points"))
-    return rings.select(
-        "poly_id", "ring", F.inline(with_bounds(F.array("points")))
-    ).where(F.size("edges") > 0)
+def _reference(cx: Column, cy: Column, cell: float | Column) -> tuple[Column, Column]:
+    return (cx + REF_X) * cell, (cy + REF_Y) * cell
 
 
-def measure_grid(polygons: DataFrame, id_column: str = "GEOID", cells_per_side: int = CELLS_PER_SIDE,
-                 max_entries: int = MAX_ENTRIES) -> tuple[float, int]:
-    """Cell size and an upper bound of the index entries, from one aggregate.
+def _scaled_edges(polygons: DataFrame, id_column: str, cells_per_side: int) -> DataFrame:
+    """``poly_id``, ``scale``, ``edges`` and the ``side`` of the largest ring."""
 
-    An edge of height h reaches into at most h/cell + 2 rows, and a row of a
-    ring of width w has at most w/cell + 2 cells; summed over all edges this
-    is a polynomial in 1/cell with four sums as coefficients.  The cell is the
-    power of two next to the median ring side over
-    ``cells_per_side``, made coarser while the index would be too large.
+    def extent(ring: Column, axis: str) -> Column:
+        each = F.transform(ring, lambda p: p[axis])
+        return F.array_max(each) - F.array_min(each)
+
+    rings = polygons.select(F.col(id_column).alias("poly_id"), "rings", F.inline(F.array(F.struct(
+        edges(F.col("rings")).alias("edges"),
+        F.array_max(F.transform("rings", lambda r: F.greatest(extent(r, "x"), extent(r, "y")))).alias("side")))))
+    along = F.greatest(F.lit(float(cells_per_side)), F.sqrt(F.size("edges") / EDGES_PER_CELL))
+    return rings.where((F.size("edges") > 0) & (F.col("side") > 0)).select(
+        "poly_id", "rings", "edges", "side", (2 * F.round(F.log2(F.col("side") / along) / 2)).cast("int").alias("scale"))
+
+
+def measure_grid(polygons: DataFrame, id_column: str = "GEOID", cells_per_side: int = CELLS_PER_SIDE) -> tuple[tuple[int, ...], int]:
+    """Scales in use and an upper bound of the index entries, from one aggregate.
+
+    An edge meets at most ``(width + height) / cell + 3`` cells, and a ring covers
+    at most as many as its box has.  A cell is the power of four next to the
+    side of the polygon's largest ring over ``cells_per_side``, or over the root
+    of its edges by two where that is more; then its box has about as many cells
+    as the polygon has edges, and the index grows with the edges.
     """
-    height = F.aggregate("edges", F.lit(0.0), lambda s, e: s + F.abs(e.y2 - e.y1))
-    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    cell = F.pow(F.lit(2.0), F.col("scale"))
+    along = F.aggregate("edges", F.lit(0.0), lambda s, e: s + F.abs(e.x2 - e.x1) + F.abs(e.y2 - e.y1))
+    box = F.aggregate("rings", F.lit(0.0), lambda s, r: s + _box_cells(r, cell))
     row = (
-        _ring_edges(polygons, id_column)
-        .select(side.alias("side"), F.size("edges").alias("n"), height.alias("h"), (F.col("xmax") - F.col("xmin")).alias("w"))
-        .agg(
-            F.percentile_approx("side", 0.5).alias("side"), F.sum(F.col("h") * F.col("w")).alias("hw"),
-            F.sum("h").alias("h"), F.sum(F.col("n") * F.col("w")).alias("nw"), F.sum("n").alias("n"),
-        )
+        _scaled_edges(polygons, id_column, cells_per_side)
+        .agg(F.sum(along / cell + 3 * F.size("edges") + box).alias("n"), F.array_sort(F.collect_set("scale")).alias("scales"))
         .first()
     )
-    if not row["side"]:
-        return 1.0, 0
-    k = round(math.log2(row["side"] / cells_per_side))
+    return tuple(row["scales"]), int(row["n"] or 0)
 
-    def entries(cell: float) -> int:
-        return math.ceil(row["hw"] / cell**2 + 2 * (row["h"] + row["nw"]) / cell + 4 * row["n"])
 
-    while entries(2.0**k) > max_entries and 2.0**k < 360:
-        k += 1
-    return 2.0**k, entries(2.0**k)
+def _box_cells(ring: Column, cell: Column) -> Column:
+    def cells(axis: str) -> Column:
+        each = F.transform(ring, lambda p: p[axis])
+        return (F.array_max(each) - F.array_min(each)) / cell + 2
 
+    return F.coalesce(cells("x") * cells("y"), F.lit(0.0))
 
-def cell_index(polygons: DataFrame, id_column: str = "GEOID", **grid) -> CellIndex:
-    """Build the index of a polygon table (``id_column``, ``rings``)."""
-    cell, n_entries = measure_grid(polygons, id_column, **grid)
+
+def _border_cells(rows: DataFrame) -> DataFrame:
+    """Cells of a row that an edge crosses.
+
+    The edge is cut to the row; the cut is widened by what rounding may take,
+    for an edge too many in a cell changes nothing.
+    """
     low_x, high_x = F.least("x1", "x2"), F.greatest("x1", "x2")
-    low_y, high_y = F.least("y1", "y2"), F.greatest("y1", "y2")
-    per_edge = _ring_edges(polygons, id_column).select(
-        "poly_id", "ring", _cell_no(F.col("xmin"), cell).alias("first_cx"), F.inline("edges")
-    )
-    per_row = per_edge.select(
-        "*", F.explode(F.sequence(_cell_no(low_y, cell), _cell_no(high_y, cell))).alias("cy")
-    )
-    per_cell = per_row.select(
-        "*", F.explode(F.sequence("first_cx", _cell_no(high_x, cell))).alias("cx")
-    )
-    border = (
-        (low_x < (F.col("cx") + 1) * cell) & (high_x >= F.col("cx") * cell)
-        & (low_y < (F.col("cy") + 1) * cell) & (high_y >= F.col("cy") * cell)
-    )
-    # one shuffle by cell serves all three groupings
-    rings = per_cell.repartition("cx", "cy").groupBy("cx", "cy", "poly_id", "ring").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
-        F.max(border).alias("border"),
-    )
-    covers = ~F.col("border") & strictly_inside(
-        F.col("edges"), (F.col("cx") + 0.5) * cell, (F.col("cy") + 0.5) * cell
-    )
-    candidates = rings.select("*", covers.alias("covers")).groupBy("cx", "cy", "poly_id").agg(
-        F.flatten(F.collect_list(F.when(F.col("border"), F.col("edges")))).alias("edges"),
-        F.count_if("covers").cast("int").alias("covered"),
+    slack = (F.abs("y1") + F.abs("y2") + F.col("cell")) * 2.0**-50
+    first = F.greatest(F.least("y1", "y2"), F.col("cy") * F.col("cell") - slack)
+    last = F.least(F.greatest("y1", "y2"), (F.col("cy") + 1) * F.col("cell") + slack)
+    slope = (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+
+    def at(y: Column) -> Column:
+        return F.col("x1") + (y - F.col("y1")) * slope
+
+    flat = F.col("y1") == F.col("y2")
+    spare = F.when(F.col("x1") == F.col("x2"), F.lit(0.0)).otherwise((F.abs("x1") + F.abs("x2")) * 2.0**-50)
+    left = F.when(flat, low_x).otherwise(F.greatest(low_x, F.least(at(first), at(last)) - spare))
+    right = F.when(flat, high_x).otherwise(F.least(high_x, F.greatest(at(first), at(last)) + spare))
+    return rows.select(
+        "poly_id", "scale", "cy", F.struct("x1", "y1", "x2", "y2").alias("edge"),
+        F.explode(F.sequence(_cell_no(left, F.col("cell")), _cell_no(right, F.col("cell")))).alias("cx"))
+
+
+def _held_cells(rows: DataFrame) -> DataFrame:
+    """Cells whose reference point the polygon holds.
+
+    An edge that crosses the line of a row's reference points is counted at the
+    last cell whose reference point lies left of it.  Counted from the right, a
+    reference point is inside after an odd number of edges; sorted, these places
+    are the ends of the runs of cells inside.
+    """
+    y = (F.col("cy") + REF_Y) * F.col("cell")
+    guess = _cell_no(F.col("x1") + (y - F.col("y1")) * ((F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))), F.col("cell"))
+    e = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
+
+    def left_of_edge(cx: Column) -> Column:
+        x, _ = _reference(cx, F.col("cy"), F.col("cell"))
+        return (edge_turn(e["x1"], e["y1"], e["x2"], e["y2"], x, y) > 0) == (e["y2"] > e["y1"])
+
+    last = (
+        F.when(left_of_edge(F.col("guess") + 1), F.col("guess") + 1).when(left_of_edge(F.col("guess")), F.col("guess"))
+        .when(left_of_edge(F.col("guess") - 1), F.col("guess") - 1).otherwise(F.col("guess") - 2)
     )
+    crossing = rows.where((e["y1"] > y) != (e["y2"] > y)).withColumn("guess", guess)
+    ends = crossing.groupBy("poly_id", "scale", "cy").agg(F.array_sort(F.collect_list(last)).alias("ends"))
+    runs = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size("ends") / 2).cast("int") - 1),
+        lambda i: F.struct((F.get("ends", 2 * i) + 1).alias("first"), F.get("ends", 2 * i + 1).alias("last")))
+    each = ends.where(F.size("ends") > 1).select("poly_id", "scale", "cy", F.inline(runs)).where("first <= last")
+    return each.select("poly_id", "scale", "cy", F.explode(F.sequence("first", "last")).alias("cx"))
+
+
+def cell_index(polygons: DataFrame, id_column: str = "GEOID", cells_per_side: int = CELLS_PER_SIDE) -> CellIndex:
+    """Build the index of a polygon table (``id_column``, ``rings``)."""
+    scales, n_entries = measure_grid(polygons, id_column, cells_per_side)
+    per_edge = _scaled_edges(polygons, id_column, cells_per_side).select(
+        "poly_id", "scale", F.pow(F.lit(2.0), F.col("scale")).alias("cell"), F.inline("edges"))
+    low_y, high_y = F.least("y1", "y2"), F.greatest("y1", "y2")
+    rows = per_edge.select(
+        "*", F.explode(F.sequence(_cell_no(low_y, F.col("cell")), _cell_no(high_y, F.col("cell")))).alias("cy"))
+    entries = _border_cells(rows).select("scale", "cx", "cy", "poly_id", "edge", F.lit(0).alias("held")).unionByName(
+        _held_cells(rows).select("scale", "cx", "cy", "poly_id", F.lit(None).alias("edge"), F.lit(1).alias("held")))
+    # one shuffle by cell serves both groupings
     table = (
-        candidates.where((F.size("edges") > 0) | (F.col("covered") % 2 == 1))
-        .groupBy("cx", "cy")
-        .agg(F.collect_list(F.struct("poly_id", "edges", "covered")).alias("candidates"))
+        entries.repartition("scale", "cx", "cy")
+        .groupBy("scale", "cx", "cy", "poly_id").agg(F.collect_list("edge").alias("edges"), (F.max("held") == 1).alias("held"))
+        .groupBy("scale", "cx", "cy").agg(F.collect_list(F.struct("poly_id", "edges", "held")).alias("candidates"))
     )
-    return CellIndex(table, cell, n_entries * ENTRY_BYTES)
+    return CellIndex(table, scales, n_entries * ENTRY_BYTES)
+
+
+def _inside(candidate: Column, x: Column, y: Column, ref_x: Column, ref_y: Column) -> Column:
+    """The polygon of a candidate holds the point of its cell; a point on an edge
+    is not inside."""
+    crossed = F.aggregate(candidate["edges"], F.lit(0), lambda n, e: n + separates(e, x, y, ref_x, ref_y))
+    return F.when(F.size(candidate["edges"]) == 0, candidate["held"]).otherwise(
+        (crossed >= 0) & ((F.pmod(crossed, F.lit(2)) == 1) != candidate["held"]))
 
 
 def _hot_cells(points: DataFrame, rows_per_task: int) -> DataFrame:
@@ -160,16 +216,19 @@ def _hot_cells(points: DataFrame, rows_per_task: int) -> DataFrame:
     )
 
 
-def _lookup(points: DataFrame, index: CellIndex, broadcast_bytes: int, rows_per_task: int) -> DataFrame:
-    placed = points.withColumns(
-        {"cx": _cell_no(F.col("lon"), index.cell), "cy": _cell_no(F.col("lat"), index.cell)}
-    )
-    if index.bytes_bound <= broadcast_bytes:
-        return placed.join(F.broadcast(index.table), ["cx", "cy"], "left")
+def _lookup(rows: DataFrame, points: DataFrame, table: DataFrame, cell: float, small: bool, rows_per_task: int) -> DataFrame:
+    """``rows``, which are ``points`` with further columns, with ``cx``, ``cy``
+    and the candidates of their cell of one scale."""
+    place = {"cx": _cell_no(F.col("lon"), cell), "cy": _cell_no(F.col("lat"), cell)}
+    placed = rows.withColumns(place)
+    if small:
+        return placed.join(F.broadcast(table), ["cx", "cy"], "left")
     if points.isStreaming:
         # a micro-batch is small; an aggregate of the stream can't be joined to it
-        return placed.join(index.table.hint("shuffle_hash"), ["cx", "cy"], "left")
-    hot = F.broadcast(_hot_cells(placed, rows_per_task))
+        return placed.join(table.hint("shuffle_hash"), ["cx", "cy"], "left")
+    # counted on the points as they came, so that the plan of a scale does not
+    # repeat those before it
+    hot = F.broadcast(_hot_cells(points.withColumns(place), rows_per_task))
     # null cells (rows that are not joined) and hot cells spread by row hash
     row_hash = F.xxhash64(*[F.col(c) for c in points.columns])
     n_salts = F.coalesce("n_salts", F.lit(1))
@@ -179,12 +238,12 @@ def _lookup(points: DataFrame, index: CellIndex, broadcast_bytes: int, rows_per_
         .withColumn("salt", F.pmod(row_hash, n_salts).cast("int"))
         .drop("hot_cx", "hot_cy", "n_salts")
     )
-    table = (
-        index.table.join(hot, ["cx", "cy"], "left")
+    salted_table = (
+        table.join(hot, ["cx", "cy"], "left")
         .select("cx", "cy", "candidates", F.explode(F.sequence(F.lit(0), n_salts - 1)).alias("salt"))
         .hint("shuffle_hash")
     )
-    return salted.join(table, ["cx", "cy", "salt"], "left").drop("salt")
+    return salted.join(salted_table, ["cx", "cy", "salt"], "left").drop("salt")
 
 
 def point_in_polygon(points: DataFrame, index: CellIndex, id_name: str = "GEOID",
@@ -195,13 +254,20 @@ def point_in_polygon(points: DataFrame, index: CellIndex, id_name: str = "GEOID"
     Adds ``id_name`` (NULL when none) and ``first_match``, true on exactly one
     output row per point.
     """
-    found = F.filter(
-        "candidates",
-        lambda c: (F.size(c.edges) == 0) | strictly_inside(c.edges, F.col("lon"), F.col("lat"), c.covered),
-    )
-    joined = _lookup(points, index, broadcast_bytes, rows_per_task)
+    kind = index.table.schema["candidates"].dataType.elementType["poly_id"].dataType.simpleString()
+    joined, found = points, []
+    for scale in index.scales:
+        cell = 2.0**scale
+        table = index.table.where(F.col("scale") == scale).select("cx", "cy", "candidates")
+        rows = _lookup(joined, points, table, cell, index.bytes_bound <= broadcast_bytes, rows_per_task)
+        ref = _reference(F.col("cx"), F.col("cy"), cell)
+        # each join's candidates are reduced to ids before the next one
+        held = F.filter("candidates", lambda c: _inside(c, F.col("lon"), F.col("lat"), *ref))  # noqa: B023
+        found.append(f"found_{len(found)}_")
+        joined = rows.select(*joined.columns, F.transform(held, lambda c: c.poly_id).alias(found[-1]))
+    empty = F.array().cast(f"array<{kind}>")
     return (
-        joined.select(*points.columns, F.transform(found, lambda c: c.poly_id).alias("found"))
+        joined.select(*points.columns, F.concat(empty, *[F.coalesce(c, empty) for c in found]).alias("found"))
         .select(*points.columns, F.posexplode_outer("found").alias("pos", id_name))
         .withColumn("first_match", F.coalesce(F.col("pos") == 0, F.lit(True)))
         .drop("pos")
@@ -252,6 +318,37 @@ def sampled(points: DataFrame, sizes: DataFrame | None, share: float,
     )
 
 
+def exact_sample(points: DataFrame, share: float, above: int = 0, key: Sequence[str] = ("lon", "lat", "weight")) -> DataFrame:
+    """Repeatable sample of exactly ``round(share * rows)`` rows, half to even, of
+    each dataset with more than ``above`` rows; smaller ones stay whole.
+
+    Rows are taken by ascending hash.  A histogram of the hashes' leading bits
+    finds for each dataset the bucket in which its sample ends: all rows of the
+    buckets before it are taken where they are, and only rows of that bucket
+    are sorted out by hash.  Equal rows are counted there, not listed, so a
+    place that holds a third of a dataset is one row.
+    """
+    names = points.columns
+    hashed = points.withColumn("hash_", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key])))
+    hashed = hashed.withColumn("bucket_", F.conv(F.substring("hash_", 1, 4), 16, 10).cast("int"))
+    histogram = durable(hashed.groupBy("dataset_id", "bucket_").agg(F.count("*").alias("n")))
+    # at most 65,536 rows per dataset
+    per_dataset = W.partitionBy("dataset_id")
+    whole = F.sum("n").over(per_dataset)
+    wanted = F.when(whole > above, F.bround(whole * F.lit(share), 0).cast("bigint")).otherwise(whole)
+    upto = F.sum("n").over(per_dataset.orderBy("bucket_").rowsBetween(W.unboundedPreceding, W.currentRow))
+    running = histogram.select("dataset_id", "bucket_", "n", upto.alias("upto"), wanted.alias("wanted"))
+    cuts = running.where((F.col("upto") - F.col("n") < F.col("wanted")) & (F.col("upto") >= F.col("wanted"))).select(
+        "dataset_id", F.col("bucket_").alias("last_"), (F.col("wanted") - F.col("upto") + F.col("n")).alias("rest_"))
+    cut = hashed.join(small_side(cuts), "dataset_id")
+    before = cut.where(F.col("bucket_") < F.col("last_")).select(*names)
+    ends = cut.where(F.col("bucket_") == F.col("last_")).groupBy(*names, "hash_", "rest_").agg(F.count("*").alias("n"))
+    order = per_dataset.orderBy("hash_", *[F.col(c) for c in names]).rowsBetween(W.unboundedPreceding, W.currentRow)
+    taken = F.least(F.col("n"), F.col("rest_") - (F.sum("n").over(order) - F.col("n")))
+    last = ends.select(*names, taken.alias("taken_")).where("taken_ > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("taken_"))).alias("copy_"))
+    return before.unionByName(last.select(*names))
+
+
 def area_hits(points: DataFrame, index: CellIndex, **join) -> DataFrame:
     """Points per dataset, orientation and area; both orientations at once."""
     both = points.select(

@@ -11,7 +11,8 @@ from evenground.operators.overlay import covered_tracts, overlap_area
 from evenground.operators.rollup import (
     attach_counts, complete_counts, point_share, roll_up, roll_up_all, sub_area_coverage, totals_differ,
 )
-from evenground.session import durable
+from evenground.operators.spatial import national_area
+from evenground.session import durable, small_side
 from workload.formulas import EXTRA, _rect
 from workload.points import place_shapes, tract_counts, tract_shapes, upper_shapes
 from workload.registry import query, r, settle
@@ -19,18 +20,16 @@ from workload.views import view
 
 
 def all_tracts(spark, sf):
-    """Every tract of every dataset, counted; 0 where there is no point."""
+    """The tracts of each dataset's area, counted; 0 where there is no point.
+
+    The area of all datasets is the nation here: a dataset is joined to its
+    area, the area to its tracts.
+    """
     # counted once, read twice
     counts = durable(tract_counts(spark, sf))
-    areas = view(spark, sf, "fx_tract")
-    return complete_counts(areas.select("*", every_dataset(counts)), counts)
-
-
-def every_dataset(counts):
-    """One row per dataset for each area: the shape of the result.  The short
-    list of datasets is a scalar, so the areas are not shuffled."""
-    ids = counts.agg(F.array_sort(F.collect_set("dataset_id"))).scalar()
-    return F.explode(ids).alias("dataset_id")
+    areas = national_area(counts.select("dataset_id").distinct()).select("dataset_id", "denom_geoid")
+    tracts = bl.of_nation(view(spark, sf, "fx_tract")).join(small_side(areas), "denom_geoid").drop("denom_geoid")
+    return complete_counts(tracts, counts)
 
 
 _ALL = {
@@ -98,7 +97,8 @@ def totals_agree(spark, sf):
 def _states_with_counts(spark, sf):
     states = view(spark, sf, "fx_states").select(F.col("state_code").alias("GEOID"), F.concat("state_name", F.lit(", X")).alias("disp_name"), "region_name")
     rolled = durable(roll_up(tract_counts(spark, sf), 2))
-    return attach_counts(states.select("*", every_dataset(rolled)), rolled)
+    areas = national_area(rolled.select("dataset_id").distinct()).select("dataset_id", "denom_geoid")
+    return attach_counts(bl.of_nation(states).join(small_side(areas), "denom_geoid").drop("denom_geoid"), rolled)
 
 
 _STATE = {
