@@ -3,8 +3,11 @@
 A polygon is the signed sum of the strips between its edges and a baseline
 below it, so the area of A and B together is the sum over edge pairs of
 ``sign * sign * integral of min(edge_a, edge_b)`` on their common x range.
-Edges only meet inside one x strip of one candidate pair of polygons, which
-keeps the join an equi-join and each group as small as a strip.
+Each polygon's edges are cut at the borders of x strips once, whatever the number
+of its partners; a pair of polygons asks only for the strips of their common
+range, and leaves out edges that lie below the whole other polygon, whose
+integrals cancel.  So the join is an equi-join on polygon and strip, and its rows
+follow the edges where the two meet.
 """
 
 from __future__ import annotations
@@ -68,32 +71,33 @@ def candidate_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: s
             (corner_x < F.least("a_xmax", "b_xmax")) & (corner_y < F.least("a_ymax", "b_ymax"))
             & (_step(corner_x, cell) == F.col("cx")) & (_step(corner_y, cell) == F.col("cy"))
         )
-        .select(left_id, right_id, F.least("a_ymin", "b_ymin").alias("base"))
+        .select(
+            left_id, right_id, F.least("a_ymin", "b_ymin").alias("base"), "a_ymin", "b_ymin",
+            corner_x.alias("from_x"), F.least("a_xmax", "b_xmax").alias("to_x"))
     )
 
 
-def _edge_strips(pairs: DataFrame, boxes: DataFrame, name: str, side: str, strip: float, keep: list[str]) -> DataFrame:
-    """Edges of one side of the pairs, cut at the strip borders."""
+def _edge_strips(boxes: DataFrame, name: str, side: str, strip: float) -> DataFrame:
+    """Edges of each polygon, cut at the strip borders."""
     low, high = F.least("x1", "x2"), F.greatest("x1", "x2")
     slope = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
     left = F.greatest(F.col("low"), F.col("strip") * strip)
     right = F.least(F.col("high"), (F.col("strip") + 1) * strip)
 
     def at(x: Column) -> Column:
-        return F.col("y1") + (x - F.col("x1")) * F.col("slope") - F.col("base")
+        return F.col("y1") + (x - F.col("x1")) * F.col("slope")
 
     return (
-        pairs.join(boxes.select(name, "edges"), name)
-        .select(*keep, "base", F.inline("edges"))
+        boxes.select(name, F.inline("edges"))
         .where("x1 != x2")
         .select(
-            *keep, "base", "x1", "y1", slope.alias("slope"), low.alias("low"), high.alias("high"),
+            name, "x1", "y1", slope.alias("slope"), low.alias("low"), high.alias("high"),
             F.when(F.col("x2") > F.col("x1"), F.lit(-1.0)).otherwise(F.lit(1.0)).alias(f"{side}_sign"),
             F.explode(F.sequence(_step(low, strip), _step(high, strip))).alias("strip"),
         )
         .where(left < right)
         .select(
-            *keep, "strip", f"{side}_sign", left.alias(f"{side}_l"), right.alias(f"{side}_r"),
+            name, "strip", f"{side}_sign", left.alias(f"{side}_l"), right.alias(f"{side}_r"),
             at(left).alias(f"{side}_yl"), at(right).alias(f"{side}_yr"),
         )
     )
@@ -106,7 +110,7 @@ def _common_area() -> Column:
     def height(side: str, x: Column) -> Column:
         run = F.col(f"{side}_r") - F.col(f"{side}_l")
         rise = F.col(f"{side}_yr") - F.col(f"{side}_yl")
-        return F.col(f"{side}_yl") + (x - F.col(f"{side}_l")) / run * rise
+        return F.col(f"{side}_yl") - F.col("base") + (x - F.col(f"{side}_l")) / run * rise
 
     al, ar, bl, br = height("a", l), height("a", r), height("b", l), height("b", r)
     dl, dr = al - bl, ar - br
@@ -127,11 +131,13 @@ def overlap_area(left: DataFrame, right: DataFrame, left_id: str = "GEOID", righ
     pairs = candidate_pairs(a, b, left_id, right_id, _power_of_two(side))
     keep = [left_id, right_id]
     strip = _power_of_two(width)
-    a_edges = _edge_strips(pairs, a, left_id, "a", strip, keep)
-    b_edges = _edge_strips(pairs, b, right_id, "b", strip, keep)
+    asked = pairs.select(
+        *keep, "base", "a_ymin", "b_ymin", F.explode(F.sequence(_step(F.col("from_x"), strip), _step(F.col("to_x"), strip))).alias("strip"))
     common = (
-        a_edges.join(b_edges, [*keep, "strip"])
-        .where("greatest(a_l, b_l) < least(a_r, b_r)")
+        asked.join(_edge_strips(a, left_id, "a", strip), [left_id, "strip"])
+        .where("greatest(a_yl, a_yr) > b_ymin")
+        .join(_edge_strips(b, right_id, "b", strip), [right_id, "strip"])
+        .where("greatest(b_yl, b_yr) > a_ymin AND greatest(a_l, b_l) < least(a_r, b_r)")
         .groupBy(*keep)
         .agg(F.sum(_common_area()).alias("overlap"))
     )
