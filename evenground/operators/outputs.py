@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from evenground.catalogs import NATION_BBOX, SHORT_DEMO, SHORT_GEO
 from evenground.functions.geometry import with_bounds, RING_TYPE, signed_ring_area
@@ -158,3 +159,41 @@ def result_documents(geo: DataFrame, demo: DataFrame, report: DataFrame, bounds_
         F.lit(',"demographic_bias_sub_geo_list":'), raw("subs"), F.lit("}"),
     )
     return joined.select("dataset_id", document.alias("document"))
+
+
+def document_pages(geo: DataFrame, demo: DataFrame, report: DataFrame, bounds_long: DataFrame, boxes: DataFrame,
+                   sub_areas: DataFrame, rows_per_page: int = 2_000) -> DataFrame:
+    """Result documents in bounded parts: ``dataset_id``, ``section``, ``part``
+    (from 1), ``n_parts`` and the JSON text ``document`` of each part.
+
+    The section ``head`` has the messages, bounds and box; ``geo``, ``demo`` and
+    ``sub`` have ``rows_per_page`` items at most, areas with the most points first.
+    """
+
+    def fields(df: DataFrame) -> Column:
+        return F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "dataset_id"])
+
+    def paged(df: DataFrame, item: Column, section: str, order: list[Column]) -> DataFrame:
+        # the window holds the areas or variables of one geography, no points
+        numbered = df.select("dataset_id", F.to_json(item).alias("line"), F.row_number().over(W.partitionBy("dataset_id").orderBy(*order)).alias("n"))
+        parts = numbered.withColumn("part", (F.floor((F.col("n") - 1) / rows_per_page) + 1).cast("int")).groupBy("dataset_id", "part").agg(
+            F.array_sort(F.collect_list(F.struct("n", "line"))).alias("lines"))
+        text = F.concat(F.lit('{"items":['), F.array_join(F.transform("lines", lambda x: x.line), ","), F.lit("]}"))
+        return parts.select(
+            "dataset_id", F.lit(section).alias("section"), "part", F.max("part").over(W.partitionBy("dataset_id")).alias("n_parts"), text.alias("document"))
+
+    bound_map = bounds_long.groupBy("dataset_id").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("bound", "value")))).alias("bounds"))
+    box = boxes.select("dataset_id", F.array("xmin", "ymin", "xmax", "ymax").alias("bbox"))
+    head = (
+        report.select("dataset_id", fields(report).alias("messages")).join(bound_map, "dataset_id", "left").join(box, "dataset_id", "left")
+        .select("dataset_id", F.lit("head").alias("section"), F.lit(1).alias("part"), F.lit(1).alias("n_parts"),
+                F.to_json(F.struct("messages", "bounds", "bbox")).alias("document"))
+    )
+    share, area = SHORT_GEO["data_prop"], SHORT_GEO["GEOID"]
+    geo, demo = rounded(geo), rounded(demo)
+    return (
+        head.unionByName(paged(geo, feature(geo), "geo", [F.desc_nulls_last(share), F.col(area)]))
+        .unionByName(paged(demo, fields(demo), "demo", [F.to_json(fields(demo))]))
+        .unionByName(paged(sub_areas, fields(sub_areas), "sub", [F.to_json(fields(sub_areas))]))
+    )
