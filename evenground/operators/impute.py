@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenground.session import durable, small_side
+
 
 def recode_codes(df: DataFrame, column: str, codes: Mapping[float, float | None]) -> DataFrame:
     """Values from 0 up stay; listed codes are replaced; the rest is missing."""
@@ -23,7 +25,9 @@ def _with_mean(df: DataFrame, column: str, by: str | None) -> DataFrame:
     if by is None:
         mean = df.agg(F.avg(column).alias("mean_value"))
         return df.withColumn("mean_value", mean.scalar())
-    return df.join(df.groupBy(by).agg(F.avg(column).alias("mean_value")), by, "left")
+    # a group's rows stay where they are while its means are few
+    means = durable(df.groupBy(by).agg(F.avg(column).alias("mean_value")))
+    return df.join(small_side(means), by, "left")
 
 
 def impute_mean(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
