@@ -90,7 +90,9 @@ def _scaled_edges(polygons: DataFrame, id_column: str, cells_per_side: int) -> D
     rings = polygons.select(F.col(id_column).alias("poly_id"), "rings", F.inline(F.array(F.struct(
         edges(F.col("rings")).alias("edges"),
         F.array_max(F.transform("rings", lambda r: F.greatest(extent(r, "x"), extent(r, "y")))).alias("side")))))
-    along = F.greatest(F.lit(float(cells_per_side)), F.sqrt(F.size("edges") / EDGES_PER_CELL))
+    # of a ring, as the side is: a polygon of many parts has no finer cells for them
+    most = F.array_max(F.transform("rings", F.size))
+    along = F.greatest(F.lit(float(cells_per_side)), F.sqrt(most / EDGES_PER_CELL))
     return rings.where((F.size("edges") > 0) & (F.col("side") > 0)).select(
         "poly_id", "rings", "edges", "side", (2 * F.round(F.log2(F.col("side") / along) / 2)).cast("int").alias("scale"))
 
@@ -101,8 +103,8 @@ def measure_grid(polygons: DataFrame, id_column: str = "GEOID", cells_per_side:
     An edge meets at most ``(width + height) / cell + 3`` cells, and a ring covers
     at most as many as its box has.  A cell is the power of four next to the
     side of the polygon's largest ring over ``cells_per_side``, or over the root
-    of its edges by two where that is more; then its box has about as many cells
-    as the polygon has edges, and the index grows with the edges.
+    of half a ring's edges where that is more; then its box has about as many
+    cells as the ring has edges, and the index grows with the edges.
     """
     cell = F.pow(F.lit(2.0), F.col("scale"))
     along = F.aggregate("edges", F.lit(0.0), lambda s, e: s + F.abs(e.x2 - e.x1) + F.abs(e.y2 - e.y1))
