@@ -48,3 +48,15 @@ def test_overlapping_cells_covered_by_one_or_two(spark):
     points = spark.createDataFrame([(0.6, 0.6), (1.6, 0.6), (1.0, 0.6), (5.0, 5.0), (10.6, 10.6)], "lon double, lat double")
     got = collections.Counter((r["lon"], r["GEOID"]) for r in point_in_polygon(points, cell_index(both)).collect())
     assert got == collections.Counter([(0.6, "a"), (0.6, "z"), (1.6, "b"), (1.0, None), (5.0, None), (10.6, "c")])
+
+
+def test_measures_of_a_merged_shape_are_taken_once(spark):
+    parts = spark.createDataFrame(
+        [("2148000", float(i)) for i in range(5)] + [("2148006", 9.0), ("x", 20.0), ("x", 22.0), (None, 30.0)], "GEOID string, x0 double").select(
+        "GEOID", box_rings(F.col("x0"), F.lit(0.0), F.col("x0") + 1, F.lit(1.0)).alias("rings"))
+    whole = bl.merge_places(parts, area=area)
+    assert whole.columns == [*bl.merge_places(parts).columns, "area"]
+    for r in whole.select("GEOID", "area", area(F.col("rings")).alias("own"), F.size("rings").alias("n")).collect():
+        assert (r["area"], r["own"], r["n"]) == ((6.0, 6.0, 6) if r["GEOID"] in ("2148000", "2148006") else (1.0, 1.0, 1))
+    # the shape is not carried to its parts by who reads the area only
+    assert "all_rings" not in plan(whole.groupBy("GEOID").agg(F.max("area")))

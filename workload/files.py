@@ -235,8 +235,8 @@ def merged_places(spark, sf):
     """Parts of one place get the shape of all parts."""
     part = F.when(F.substring("GEOID", 1, 5) == "01001", "2148000").when(F.substring("GEOID", 1, 5) == "02002", "2148006")
     places = tract_shapes(spark, sf).withColumn("GEOID", F.coalesce(part, "GEOID"))
-    whole = bl.merge_places(places).withColumn("place", F.when(F.col("GEOID").isin("2148000", "2148006"), "merged").otherwise(F.col("GEOID")))
-    return settle(whole.groupBy("place").agg(F.max(area(F.col("rings"))).alias("area"), F.count("*").alias("n")))
+    whole = bl.merge_places(places, area=area).withColumn("place", F.when(F.col("GEOID").isin("2148000", "2148006"), "merged").otherwise(F.col("GEOID")))
+    return settle(whole.groupBy("place").agg(F.max("area").alias("area"), F.count("*").alias("n")))
 
 
 @query("SELECT GEOID, '1150000' AS denom_geoid, CAST(num_pop AS BIGINT) AS pop FROM {fx_tract} WHERE substring(GEOID, 1, 5) = '01001'")
