@@ -60,3 +60,12 @@ def test_measures_of_a_merged_shape_are_taken_once(spark):
         assert (r["area"], r["own"], r["n"]) == ((6.0, 6.0, 6) if r["GEOID"] in ("2148000", "2148006") else (1.0, 1.0, 1))
     # the shape is not carried to its parts by who reads the area only
     assert "all_rings" not in plan(whole.groupBy("GEOID").agg(F.max("area")))
+
+
+def test_lines_are_not_sorted_for_their_header(spark, tmp_path):
+    (tmp_path / "one.csv").write_bytes("h1,h2\n1,é\n2,b\n".encode())
+    (tmp_path / "two.csv").write_bytes('h2,h1\n1,\xe9\n"2\n3",b\n'.encode("latin-1"))
+    looked = _looked_at(spark, f"file://{tmp_path}")
+    assert "SortAggregate" not in plan(looked)
+    got = {r["path"].rsplit("/", 1)[1]: (r["encoding"], bytes.fromhex(r["header"]), r["broken_lines"]) for r in looked.collect()}
+    assert got == {"one.csv": ("utf-8", b"h1,h2", False), "two.csv": ("iso-8859-1", b"h2,h1", True)}
