@@ -69,3 +69,17 @@ def test_lines_are_not_sorted_for_their_header(spark, tmp_path):
     assert "SortAggregate" not in plan(looked)
     got = {r["path"].rsplit("/", 1)[1]: (r["encoding"], bytes.fromhex(r["header"]), r["broken_lines"]) for r in looked.collect()}
     assert got == {"one.csv": ("utf-8", b"h1,h2", False), "two.csv": ("iso-8859-1", b"h2,h1", True)}
+
+
+def test_column_errors_are_counted_once(spark, monkeypatch):
+    import workload.uploads as up
+
+    kept = []
+    table = spark.createDataFrame(
+        [("A", "1.5", "2.5", "3", "4", "F", "1996-01-01"), ("A", "1.5", "2.5", "3", "4", "#N/A", "1996-01-01")],
+        "dataset_id string, lon string, lat string, weight string, quantity string, status string, shipdate string")
+    monkeypatch.setattr(up, "view", lambda *_: table)
+    monkeypatch.setattr(up, "durable", lambda df: kept.append(df) or df.localCheckpoint())
+    out = up.upload_column_errors(spark, "")
+    assert len(kept) == 1
+    assert {(r["dataset_id"], r["error"], r["n_rows"], r["n_status"]) for r in out.collect()} == {(k, e, 2, 1) for k, e in up._TOLD.items()}
