@@ -221,11 +221,12 @@ def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def similar(docs: DataFrame, key: str, text: str = "text", size: int = 5, least: float = 0.8, radius: int = 2, bands: int = 20, rows: int = 5,
-            carry: tuple[str, ...] = ()) -> DataFrame:
+            carry: tuple[str, ...] = (), by_fingerprint: bool = False) -> DataFrame:
     """One row for each row of ``docs``: ``key`` (unique and not NULL), ``carry``
     and ``component_id``, the smallest key that links reach.  Two texts are
     linked if their sets of ``size``-word shingles have a Jaccard similarity of
-    ``least`` or more.
+    ``least`` or more; with ``by_fingerprint`` also if their fingerprints differ
+    in ``radius`` bits or fewer.
 
     The members of a bucket are compared with its smallest set; where one of
     them is unlike it, all are compared with three further centres, each drawn
@@ -236,8 +237,8 @@ def similar(docs: DataFrame, key: str, text: str = "text", size: int = 5, least:
     nodes = written(rows_.groupBy("sid").agg(F.min(key).alias("first_")), "nodes")
     # one row for each set
     own = rows_.join(nodes.select(F.col("first_").alias(key)), key, "left_semi")
-    near = links(own.select("fp").distinct(), radius)
-    near = near.selectExpr("a AS fp", "b AS lo").unionByName(near.selectExpr("b AS fp", "b AS lo")).distinct()
+    within = links(own.select("fp").distinct(), radius)
+    near = within.selectExpr("a AS fp", "b AS lo").unionByName(within.selectExpr("b AS fp", "b AS lo")).distinct()
     by_fp = own.select("sid", "n", F.lit(-1).alias("t"), F.col("fp").alias("v"))
     stars = own.select("sid", "n", "fp").join(near, "fp").select("sid", "n", F.lit(-2).alias("t"), F.col("lo").alias("v"))
     members = own.select("sid", "n", F.posexplode("bands").alias("t", "v")).unionByName(by_fp).unionByName(stars)
@@ -263,6 +264,11 @@ def similar(docs: DataFrame, key: str, text: str = "text", size: int = 5, least:
         further = further.unionByName(around(rest, F.xxhash64("sid", "t", F.lit(k))))
     found = found.unionByName(_alike(fitting(further).join(found, ["a", "b"], "left_anti"), sets, least))
     discard(members, sets, pairs, rest)
+    if by_fingerprint:
+        first = own.groupBy("fp").agg(F.min("sid").alias("m"))
+        same = own.join(first, "fp").where("sid <> m").selectExpr("sid AS a", "m AS b")
+        both = within.join(first.selectExpr("fp AS a", "m AS x"), "a").join(first.selectExpr("fp AS b", "m AS y"), "b")
+        found = written(found.unionByName(same).unionByName(both.selectExpr("x AS a", "y AS b")), "linked")
     roots = components(found).withColumnRenamed("node", "sid")
     discard(found)
     linked = nodes.join(roots, "sid")

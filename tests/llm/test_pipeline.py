@@ -56,6 +56,21 @@ def test_near_copies_of_a_similarity_of_four_fifths(spark):
     assert left == {i for i, _ in table} - gone
 
 
+def test_fingerprints_within_two_bits_are_linked(spark):
+    from evenground.llm.simhash import fingerprint, shingle_hashes
+
+    # a phrase that a text repeats decides its fingerprint, not its set of shingles
+    phrase = " ".join(f"p{i}" for i in range(40))
+    own = lambda n: " ".join(f"{n}{i}" for i in range(30))
+    one, two, three = f"{phrase} " * 60 + own("a"), f"{phrase} " * 60 + own("b"), own("c")
+    a, b, c = (fingerprint(t.encode(), 5) for t in (one, two, three))
+    x, y = (set(shingle_hashes(t.encode(), 5).tolist()) for t in (one, two))
+    assert (a ^ b).bit_count() <= 2 < (a ^ c).bit_count() and len(x & y) < 0.8 * len(x | y)
+    docs = spark.createDataFrame([(3, one), (1, two), (2, three)], "doc_id bigint, text string")
+    left = {r[0] for r in corpus_pipeline.dedup_documents(spark, docs, "").select("doc_id").collect()}
+    assert left == {1, 2}
+
+
 def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, _folder(spark, tmp_path, [])).count() == 0
 
