@@ -174,7 +174,8 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang", class_limit
                 joined = F.concat(F.lit(" "), F.array_join(found, "  "), F.lit(" "))
 
                 def count(s: Column) -> Column:
-                    number = lambda x: ((F.length(s) - F.length(F.replace(s, F.concat(F.lit(" "), x, F.lit(" ")), F.lit("")))) / (F.length(x) + 2)).cast("long")
+                    # bytes are known, characters would have to be counted
+                    number = lambda x: ((F.octet_length(s) - F.octet_length(F.replace(s, F.concat(F.lit(" "), x, F.lit(" ")), F.lit("")))) / (F.octet_length(x) + 2)).cast("long")
                     return F.concat(F.transform(r["common_words"], number), F.array((F.size(w) - F.size(found)).cast("long")))
 
                 return divergence(bind(joined, count), r["word_shares"])
