@@ -186,7 +186,12 @@ class Encoder:
         sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // self.width
         begins, each = np.cumsum(sizes) - sizes, sizes[codes]
         ends = np.cumsum(each)
-        gathered = flat[np.repeat(begins[codes] - ends + each, each) + np.arange(int(ends[-1]))]
+        # the places of a chunk fit 32 bits, which halves the largest arrays
+        kind = np.int32 if max(len(flat), int(ends[-1])) < 1 << 31 else np.int64
+        places = np.repeat((begins[codes] - ends + each).astype(kind), each)
+        places += np.arange(int(ends[-1]), dtype=kind)
+        gathered = flat[places]
+        del places
         stops = ends[np.append(starts[1:], len(codes)) - 1].tolist()
         out = [gathered[a:b] for a, b in zip([0, *stops[:-1]], stops)]
         for k in np.flatnonzero(bad).tolist():
