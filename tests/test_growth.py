@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from evenground.functions.geometry import area, box_rings
 from evenground.operators import baseline as bl
+from evenground.operators import spatial
 from evenground.operators.spatial import area_hits, cell_index, dominant_area, point_in_polygon, weighted_counts
 from evenground.sources.delimited import _looked_at
 
@@ -83,3 +84,42 @@ def test_column_errors_are_counted_once(spark, monkeypatch):
     out = up.upload_column_errors(spark, "")
     assert len(kept) == 1
     assert {(r["dataset_id"], r["error"], r["n_rows"], r["n_status"]) for r in out.collect()} == {(k, e, 2, 1) for k, e in up._TOLD.items()}
+
+
+def test_index_leaves_out_neighbours_that_only_touch_a_cell(spark):
+    index = cell_index(squares(spark))
+    cells = index.table.select("cx", "cy", F.inline("candidates")).collect()
+    # sixteen cells of each square; the neighbour's border on a cell's lower left sides is no candidate
+    assert collections.Counter(r["poly_id"] for r in cells) == {"a": 16, "b": 16, "c": 16}
+    assert all(r["held"] and r["full"] for r in cells)
+
+
+def test_flat_polygons_have_cells_of_about_their_height(spark):
+    flat = spark.createDataFrame([(0.5, 0.3, 10.0, 2.1)], "x0 double, y0 double, x1 double, y1 double").select(
+        F.lit("f").alias("GEOID"), box_rings(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")).alias("rings"))
+    assert cell_index(flat).scales == (0,)
+
+
+def test_cells_are_not_salted_without_a_hot_tile(spark):
+    points = spark.createDataFrame([("d", 0.5, 0.5, 1.0), ("d", None, 0.5, 1.0), ("d", 1.0, 0.5, 1.0)], "dataset_id string, lon double, lat double, weight double")
+    counts = weighted_counts(points, cell_index(squares(spark)), broadcast_bytes=-1)
+    assert "salt" not in plan(counts)
+    assert {(r["GEOID"], r["weighted_counts"], r["n_points"]) for r in counts.collect()} == {("a", 1.0, 1), (None, 2.0, 2)}
+
+
+def test_large_index_is_written_and_measured(spark, monkeypatch):
+    by_bound = cell_index(squares(spark)).bytes_bound
+    monkeypatch.setattr(spatial, "BROADCAST_BYTES", by_bound - 1)
+    index = cell_index(squares(spark))
+    assert index.bytes_bound < by_bound and "Scan parquet" in plan(index.table)
+    sizes = index.table.select(F.inline("candidates")).agg(F.count("*").alias("n"), F.sum(F.size("edges")).alias("e")).first()
+    assert index.bytes_bound == (sizes["n"] + sizes["e"]) * spatial.ENTRY_BYTES
+
+
+def test_index_saved_without_the_mark_is_read(spark, tmp_path):
+    index = cell_index(squares(spark))
+    old = index.table.withColumn("candidates", F.transform("candidates", lambda c: c.dropFields("full")))
+    spatial.CellIndex(old, index.scales, index.bytes_bound).save(str(tmp_path / "old"))
+    points = spark.createDataFrame([(0.6, 0.6), (1.0, 0.6), (1.6, 0.0)], "lon double, lat double")
+    found = point_in_polygon(points, spatial.CellIndex.load(spark, str(tmp_path / "old")))
+    assert {(r["lon"], r["GEOID"]) for r in found.collect()} == {(0.6, "a"), (1.0, None), (1.6, None)}
