@@ -4,9 +4,10 @@ import collections
 
 from pyspark.sql import functions as F
 
-from evenground.functions.geometry import area, box_rings
+from evenground.functions.geometry import RING_TYPE, area, box_rings
 from evenground.operators import baseline as bl
 from evenground.operators import spatial
+from evenground.operators.outputs import geometry_struct
 from evenground.operators.spatial import area_hits, cell_index, dominant_area, point_in_polygon, weighted_counts
 from evenground.sources.delimited import _looked_at
 
@@ -123,3 +124,15 @@ def test_index_saved_without_the_mark_is_read(spark, tmp_path):
     points = spark.createDataFrame([(0.6, 0.6), (1.0, 0.6), (1.6, 0.0)], "lon double, lat double")
     found = point_in_polygon(points, spatial.CellIndex.load(spark, str(tmp_path / "old")))
     assert {(r["lon"], r["GEOID"]) for r in found.collect()} == {(0.6, "a"), (1.0, None), (1.6, None)}
+
+
+def test_holes_of_a_shape_with_many_rings_are_sliced(spark):
+    ring = lambda x, turn: [{"x": x + a, "y": b} for a, b in [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)][::turn]]
+    # outer, hole, outer, outer, hole, hole
+    rings = [ring(float(i), turn) for i, turn in enumerate([1, -1, 1, 1, -1, -1])]
+    shapes = spark.createDataFrame([("a", rings), ("none", [])], f"GEOID string, rings {RING_TYPE}")
+    made = shapes.select("GEOID", geometry_struct(F.col("rings")).alias("g"))
+    # no list of parts is copied for each ring
+    assert "aggregate(rings" not in made._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["GEOID"]: [[part[0][0], len(part)] for part in r["g"]["coordinates"]] for r in made.collect()}
+    assert got["none"] == [] and [(p[0], n) for p, n in got["a"]] == [(0.0, 2), (2.0, 1), (3.0, 3)]
