@@ -39,10 +39,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 ASCII_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"""
 BLOCK_IDS = 1 << 18
 #: pre-tokens that a worker keeps, and the characters of the longest
-CACHE = 1_500_000
+CACHE = 750_000
 LONGEST = 100
 #: texts of about this many bytes are encoded together
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 8_000_000
 
 # lengths of the four numbers of each control byte
 SIZES = np.stack([(np.arange(256) >> shift & 3) + 1 for shift in (0, 2, 4, 6)], axis=1).astype(np.int64)

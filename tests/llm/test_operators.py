@@ -403,3 +403,10 @@ def test_model_weights_sum_to_one():
     weights = 10 ** backoff.walk(counts, np.full(4, 3.0), pairs, 10, 3, 100.0)
     # three words seen, and one place for all others
     assert weights.sum() == pytest.approx(1.0)
+
+
+def test_a_worker_keeps_few_enough_pre_tokens():
+    # several workers share an executor of 3,000 MB with its heap
+    from evenground.llm import tokenfile
+
+    assert tokenfile.CACHE <= 750_000 and tokenfile.CHUNK_BYTES <= 8_000_000
