@@ -410,3 +410,23 @@ def test_a_worker_keeps_few_enough_pre_tokens():
     from evenground.llm import tokenfile
 
     assert tokenfile.CACHE <= 750_000 and tokenfile.CHUNK_BYTES <= 8_000_000
+
+
+def test_lattices_are_held_in_slices(monkeypatch):
+    import tracemalloc
+
+    lattice = pieces.Lattice(tokenizer_file("piece_bpe_32k.model"), 1.0)
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choices(WORDS, k=20) + ["".join(rnd.choices("aeiounrst日本", k=9)) for _ in range(400)]) + "\n" for _ in range(200)]
+    seeds = np.arange(200, dtype=np.uint64)
+    tracemalloc.start()
+    found = lattice.sample(texts, seeds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 800,000 characters; 128 bytes of each were held at once
+    assert peak < 800_000 * 128
+    for size in (1, 1000, 10**9):
+        monkeypatch.setattr(pieces, "LATTICE", size)
+        again = lattice.sample(texts[:20], seeds[:20])
+        assert all(np.array_equal(a, b) for a, b in zip(found, again))
+        assert [lattice.decode(a) for a in again] == texts[:20]
