@@ -41,6 +41,10 @@ BLOCK_IDS = 1 << 18
 #: pre-tokens that a worker keeps, and the characters of the longest
 CACHE = 750_000
 LONGEST = 100
+#: pre-tokens that go to the library at a time
+LEARNED = 20_000
+#: pre-tokens of texts taken as a whole that are looked up together
+TOGETHER = 200_000
 #: texts of about this many bytes are encoded together
 CHUNK_BYTES = 8_000_000
 
@@ -114,45 +118,65 @@ class Encoder:
             and not pre.get("add_prefix_space") and self.mark_id is not None)
         self.merger = Tokenizer.from_file(path)
         self.merger.pre_tokenizer = pre_tokenizers.Split(self.mark, "isolated")
-        self.words: dict[str, bytes] = {}
+        # pre-tokens seen before, as Arrow strings, and their ids one behind the other
+        self.known, self.flat, self.sizes = pa.array([], pa.string()), np.zeros(0, self.type), np.zeros(0, np.int64)
 
     def _name(self, words: str) -> str:
         return codecs.charmap_decode(words.encode(), "strict", self.signs)[0]
 
-    def _learn(self, words: set[str]) -> None:
-        """Ids of pre-tokens: one call for those without a line break."""
-        lines = [w for w in words if "\n" in w]
+    def _learned(self, plain: list[str], lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens without and with a line break, and how many each
+        has.  The library takes some thousand at a time, since its own record
+        of a token is many times the size of an id."""
+        flat, sizes = [np.zeros(0, self.type)], [np.zeros(0, np.int64)]
+        for a in range(0, len(plain), LEARNED):
+            joined = self._name("\n".join(plain[a : a + LEARNED]))
+            ids = np.array(self.merger.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.type)
+            marks = ids == self.mark_id
+            flat.append(ids[~marks])
+            sizes.append(np.diff(np.concatenate(([-1], np.flatnonzero(marks), [len(ids)]))) - 1)
         for w in lines:
-            self.words[w] = np.array([t.id for t in self.tokenizer.model.tokenize(self._name(w))], self.type).tobytes()
-        others = list(words.difference(lines))
-        if not others:
-            return
-        ids = np.array(self.merger.encode_batch_fast([self._name("\n".join(others))], add_special_tokens=False)[0].ids, self.type)
-        raw, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * self.width).tolist()
-        begins = [0, *[e + self.width for e in ends]]
-        self.words.update(zip(others, [raw[a:b] for a, b in zip(begins, [*ends, len(raw)])]))
+            flat.append(np.array([t.id for t in self.tokenizer.model.tokenize(self._name(w))], self.type))
+            sizes.append(np.array([len(flat[-1])]))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _looked_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different pre-tokens, and how many each has.  Short ones are
+        kept; when there are too many, only those of this call stay."""
+        at = pa.compute.index_in(words, value_set=self.known)
+        unseen = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        number = at.fill_null(0).to_numpy().astype(np.int64)
+        new = words.take(pa.array(unseen))
+        lines = pa.compute.match_substring(new, "\n").to_numpy(zero_copy_only=False)
+        order = np.concatenate((np.flatnonzero(~lines), np.flatnonzero(lines)))
+        new = new.take(pa.array(order))
+        listed, first = _strings(new), len(new) - int(lines.sum())
+        flat, sizes = self._learned(listed[:first], listed[first:])
+        number[unseen[order]] = len(self.known) + np.arange(len(new))
+        flat, sizes = np.concatenate((self.flat, flat)), np.concatenate((self.sizes, sizes))
+        out, each = gathered(flat, sizes, number)
+        if len(sizes) <= CACHE:
+            kept, mine = pa.concat_arrays([self.known, new]), (flat, sizes)
+        elif len(words) <= CACHE:
+            kept, mine = words, (out, each)
+        else:
+            kept, mine = words.slice(0, 0), (out[:0], each[:0])
+        short = np.flatnonzero(pa.compute.utf8_length(kept).to_numpy() <= LONGEST)
+        if len(short) < len(kept):
+            kept, mine = kept.take(pa.array(short)), gathered(*mine, short)
+        self.known, (self.flat, self.sizes) = kept, mine
+        return out, each
+
+    def _joined(self, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches that have ``counts`` of the pre-tokens each, and how
+        many each has."""
+        coded = words.dictionary_encode()
+        out, each = gathered(*self._looked_up(coded.dictionary), coded.indices.to_numpy())
+        return out, np.diff(np.concatenate(([0], np.cumsum(each)))[np.concatenate(([0], np.cumsum(counts)))])
 
     def _pre_tokens(self, text: str) -> list[str]:
         return self.find_ascii(text) if text.isascii() else self.findall(text)
 
-    def _stretch(self, part: str) -> list[str]:
-        """Pre-tokens of a space and a stretch of text."""
-        if part[-1] in ",." and part[:-1].isalpha():
-            return [" " + part[:-1], part[-1]]
-        return self._pre_tokens(" " + part)
-
-    def _ids(self, words: list[str], found: list[list[str]]) -> list[bytes]:
-        """Ids of pre-tokens and of lists of pre-tokens."""
-        wanted = set(chain(words, chain.from_iterable(found)))
-        if len(self.words) + len(wanted) > CACHE:
-            self.words.clear()
-        self._learn(wanted.difference(self.words))
-        word = self.words.__getitem__
-        out = [*map(word, words), *[b"".join(map(word, f)) for f in found]]
-        for w in [w for w in wanted if len(w) > LONGEST]:
-            del self.words[w]
-        return out
-
     def encode(self, text: str) -> bytes:
         """Ids of one text as unsigned numbers of ``width`` bytes, low byte first."""
         return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
@@ -167,35 +191,44 @@ class Encoder:
         starts = listed.offsets.to_numpy()[:-1] - listed.offsets[0].as_py()
         parts = listed.flatten()
         coded = parts.dictionary_encode()
-        codes = coded.indices.to_numpy().astype(np.int64)
+        codes = coded.indices.to_numpy()
         stretches = coded.dictionary
+        last = pa.compute.utf8_slice_codeunits(stretches, -1)
+        heads = pa.compute.utf8_slice_codeunits(stretches, 0, -1)
         alone = pa.compute.utf8_is_alpha(stretches)
-        odd = pa.compute.or_(pa.compute.equal(stretches, ""), pa.compute.utf8_is_space(pa.compute.utf8_slice_codeunits(stretches, -1)))
-        alone, odd = (x.to_numpy(zero_copy_only=False) for x in (alone, odd))
-        words = _strings(pa.compute.binary_join_element_wise("", stretches.filter(pa.array(alone)), " "))
-        others = [[] if o else self._stretch(s) for s, o in zip(_strings(stretches.filter(pa.array(~alone))), odd[~alone].tolist())]
+        ended = pa.compute.and_(pa.compute.is_in(last, value_set=pa.array([",", "."])), pa.compute.utf8_is_alpha(heads))
+        odd = pa.compute.or_(pa.compute.equal(stretches, ""), pa.compute.utf8_is_space(last))
+        alone, ended, odd = (x.to_numpy(zero_copy_only=False) for x in (alone, ended, odd))
+        # a space and a word; a space, a word and a sign; all other stretches
+        kinds = [np.flatnonzero(alone), np.flatnonzero(ended), np.flatnonzero(~(alone | ended))]
+        spaced = lambda x: pa.compute.binary_join_element_wise("", x, " ")
+        signs = pa.concat_arrays([spaced(heads.take(pa.array(kinds[1]))), last.take(pa.array(kinds[1]))])
+        signs = signs.take(pa.array(np.arange(len(signs)).reshape(2, -1).T.ravel()))
+        others = [[] if o else self._pre_tokens(" " + s) for s, o in zip(_strings(stretches.take(pa.array(kinds[2]))), odd[kinds[2]].tolist())]
         # a text's first stretch has no space before it: an entry of its own
-        firsts = [self._pre_tokens(f) for f in _strings(parts.take(pa.array(starts)))]
-        entries = self._ids(words, others + firsts)
-        number = np.empty(len(stretches), np.int64)
-        number[np.concatenate((np.flatnonzero(alone), np.flatnonzero(~alone)))] = np.arange(len(stretches))
+        others += [self._pre_tokens(f) for f in _strings(parts.take(pa.array(starts)))]
+        counts = np.concatenate((np.repeat((1, 2), (len(kinds[0]), len(kinds[1]))), np.fromiter(map(len, others), np.int64, len(others))))
+        words = pa.concat_arrays([spaced(stretches.take(pa.array(kinds[0]))), signs, pa.array(chain.from_iterable(others), pa.string())])
+        del others, signs, heads, last
+        flat, sizes = self._joined(words, counts)
+        number = np.empty(len(stretches), np.int32)
+        number[np.concatenate(kinds)] = np.arange(len(stretches), dtype=np.int32)
         bad = np.logical_or.reduceat(odd[codes], starts) & (np.diff(np.append(starts, len(codes))) > 1)
         codes = number[codes]
-        codes[starts] = len(stretches) + np.arange(len(firsts))
-        flat = np.frombuffer(b"".join(entries), self.type)
-        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // self.width
-        begins, each = np.cumsum(sizes) - sizes, sizes[codes]
-        ends = np.cumsum(each)
-        # the places of a chunk fit 32 bits, which halves the largest arrays
-        kind = np.int32 if max(len(flat), int(ends[-1])) < 1 << 31 else np.int64
-        places = np.repeat((begins[codes] - ends + each).astype(kind), each)
-        places += np.arange(int(ends[-1]), dtype=kind)
-        gathered = flat[places]
-        del places
-        stops = ends[np.append(starts[1:], len(codes)) - 1].tolist()
-        out = [gathered[a:b] for a, b in zip([0, *stops[:-1]], stops)]
-        for k in np.flatnonzero(bad).tolist():
-            out[k] = np.frombuffer(self._ids([], [self._pre_tokens(texts[k].as_py())])[0], self.type)
+        codes[starts] = len(stretches) + np.arange(len(starts))
+        ids, each = gathered(flat, sizes, codes)
+        stops = np.cumsum(each)[np.append(starts[1:], len(codes)) - 1].tolist()
+        out = [ids[a:b] for a, b in zip([0, *stops[:-1]], stops)]
+        listed, where, size = [], [], 0
+        for k in (last_bad := np.flatnonzero(bad).tolist()):
+            listed.append(self._pre_tokens(texts[k].as_py()))
+            where.append(k)
+            size += len(listed[-1])
+            if size >= TOGETHER or k == last_bad[-1]:
+                ids, each = self._joined(pa.array(chain.from_iterable(listed), pa.string()), np.array([len(x) for x in listed]))
+                for at, own in zip(where, np.split(ids, np.cumsum(each)[:-1])):
+                    out[at] = own
+                listed, where, size = [], [], 0
         if self.special:
             whole = pa.compute.match_substring_regex(texts, "|".join(map(re.escape, self.special))).to_numpy(zero_copy_only=False)
             for k in np.flatnonzero(whole).tolist():
@@ -206,6 +239,19 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
 
+def gathered(flat: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries by number, one behind the other, and the size of each; ``flat``
+    has all entries, ``sizes`` how long they are."""
+    each = sizes[index]
+    ends = np.cumsum(each)
+    total = int(ends[-1]) if len(ends) else 0
+    # the places of a chunk fit 32 bits, which halves the largest arrays
+    kind = np.int32 if max(len(flat), total) < 1 << 31 else np.int64
+    places = np.repeat(((np.cumsum(sizes) - sizes)[index] - ends + each).astype(kind), each)
+    places += np.arange(total, dtype=kind)
+    return flat[places], each
+
+
 def _strings(values: pa.Array) -> list[str]:
     return values.to_numpy(zero_copy_only=False).tolist()
 

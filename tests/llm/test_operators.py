@@ -412,6 +412,39 @@ def test_a_worker_keeps_few_enough_pre_tokens():
     assert tokenfile.CACHE <= 750_000 and tokenfile.CHUNK_BYTES <= 8_000_000
 
 
+def test_kept_pre_tokens_take_few_bytes():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    encoder = tokenfile.Encoder(tokenizer_file("byte_bpe_50k.json"))
+    encoder.encode("a first call loads what the library needs, too.")
+    rnd = random.Random(3)
+    text = " ".join({"".join(rnd.choices("aeiounrst", k=8)) for _ in range(60_000)})
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+    encoder.encode(text)
+    kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    # some 35 bytes each; Python strings and a dict took about 175
+    assert kept < 60 * 60_000
+
+
+def test_pre_tokens_beyond_the_bounds_are_encoded_alike(monkeypatch):
+    import pyarrow as pa
+
+    for name, value in (("CACHE", 50), ("LONGEST", 4), ("LEARNED", 7), ("TOGETHER", 5)):
+        monkeypatch.setattr(tokenfile, name, value)
+    encoder = tokenfile.Encoder(tokenizer_file("byte_bpe_50k.json"))
+    rnd = random.Random(5)
+    parts = [*WORDS, "don't", "the,", " ", "  ", "\n", "\n\n", "12", "é.", "日本", "\u00a0", "word.\nWord", "<|endoftext|>"]
+    for k in range(60):
+        some = [" ".join(rnd.choice(parts) + str(k) * rnd.randint(0, 1) for _ in range(rnd.randint(0, 40))) for _ in range(rnd.randint(1, 20))]
+        got = encoder.encode_all(pa.array(some))
+        assert [g.tolist() for g in got] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+        assert len(encoder.known) == len(encoder.sizes) <= 50 and int(encoder.sizes.sum()) == len(encoder.flat)
+
+
 def test_lattices_are_held_in_slices(monkeypatch):
     import tracemalloc
 
