@@ -23,7 +23,10 @@ are mixed anew, each have their own chance; a link in one of them is enough.
 ``similar`` links by the similarity itself.  Fingerprints within the radius
 and equal bands of least hashes only name candidates; at a similarity of 0.8
 one of 20 bands of 5 is equal in 99.9 % of cases.  The shingle sets of both
-sides of each candidate link are then compared exactly.
+sides of a candidate link are then compared exactly: first those of a bucket
+with its smallest one, then all pairs of a bucket that links have not joined
+yet.  A parity bitmap bounds the difference of such a pair from below, so that
+few sets are compared whole; large buckets are cut into cells of two blocks.
 """
 
 from __future__ import annotations
@@ -44,6 +47,10 @@ from evenground.session import discard, written
 BITS = 64
 SEED = 42
 STEP = 1 << 16
+#: bits of a set's parity bitmap; sets and shingles of a block of a bucket
+PARITY = 1024
+BLOCK_SETS = 1024
+BLOCK_SHINGLES = 1 << 22
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -200,16 +207,24 @@ def _set_name(own: np.ndarray) -> int:
     return _signed(xxhash.xxh64_intdigest(own.tobytes(), SEED))
 
 
+def _parity(own: np.ndarray) -> np.ndarray:
+    """One bit for each of ``PARITY`` classes of hashes: is their number odd?
+    Two sets differ in at least as many hashes as their bitmaps in bits."""
+    odd = np.bincount((own % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, text: str, size: int) -> DataFrame:
-    """``sid`` and ``shingles`` of each row's set."""
+    """``sid``, ``shingles`` and parity ``bits`` of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.unique(shingle_hashes(t, size)) for t in batch.column(0).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_set_name(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["sid", "shingles"])
+                [pa.array([_set_name(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([_parity(s) for s in sets], pa.list_(pa.int64()))], names=["sid", "shingles", "bits"])
 
-    return docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_")).mapInArrow(run, "sid bigint, shingles array<bigint>")
+    return docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_")).mapInArrow(run, "sid bigint, shingles array<bigint>, bits array<bigint>")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -220,6 +235,69 @@ def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return written(common.where(F.col("c") >= least * (F.col("total") - F.col("c")) - 1e-9).select("a", "b"), "alike")
 
 
+def _open_pairs(table: pa.Table, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of a cell, each with the later ones that may be alike by sizes and
+    bitmaps and are of another component; in a cell of two blocks with those
+    of the other block."""
+    n, root, block = (table.column(c).to_numpy() for c in ("n", "root", "block"))
+    bits = np.concatenate([c.flatten().to_numpy() for c in table.column("bits").chunks]).view(np.uint64).reshape(len(n), -1)
+    crossed, apart = block.min() < block.max(), (1 - least) / (1 + least)
+    for i in range(len(n) - 1):
+        most = (n[i] + n[i + 1 :]) * apart + 1e-6
+        fit = (root[i + 1 :] != root[i]) & (np.abs(n[i + 1 :] - n[i]) <= most)
+        if crossed:
+            fit &= block[i + 1 :] != block[i]
+        js = np.flatnonzero(fit)
+        if len(js):
+            differ = np.bitwise_count(bits[i + 1 + js] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            yield i, i + 1 + js[differ <= most[js]]
+
+
+def _within_buckets(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links ``(a, b)`` between the roots of all sets that share a bucket and
+    are of at least this similarity; ``rest`` is ``t, v, sid, n, root``.  A cell
+    gives as many links as join its components, however many pairs are alike."""
+    kind = "t int, v bigint, cell bigint, block bigint, sid bigint, n bigint, root bigint, bits array<bigint>"
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    size = rest.groupBy("t", "v").agg(blocks.alias("k"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("t", "v", "k")
+    placed = rest.join(size, ["t", "v"]).withColumn("block", F.expr("pmod(xxhash64(sid), k)"))
+    cells = placed.withColumn("o", F.explode(F.expr("sequence(0L, k - 1)"))).selectExpr(
+        "t", "v", "least(block, o) * k + greatest(block, o) AS cell", "block", "sid", "n", "root")
+
+    def candidates(table: pa.Table) -> pa.Table:
+        kept = np.zeros(table.num_rows, bool)
+        for i, js in _open_pairs(table, least):
+            kept[js] = True
+            kept[i] |= len(js) > 0
+        return table.filter(pa.array(kept))
+
+    def linked(table: pa.Table) -> pa.Table:
+        root, shingles = table.column("root").to_pylist(), table.column("shingles")
+        up, out = {r: r for r in root}, []
+
+        def top(r: int) -> int:
+            while up[r] != r:
+                up[r] = r = up[up[r]]
+            return r
+
+        for i, js in _open_pairs(table, least):
+            one = shingles[i].values.to_numpy()
+            for j in js.tolist():
+                if top(root[i]) != top(root[j]):
+                    two = shingles[j].values.to_numpy()
+                    both = len(np.intersect1d(one, two, assume_unique=True))
+                    if both >= least * (len(one) + len(two) - both) - 1e-9:
+                        up[top(root[i])] = top(root[j])
+                        out.append((root[i], root[j]))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    keys = ["t", "v", "cell"]
+    near = written(cells.join(sets.select("sid", "bits"), "sid").select(*keys, "block", "sid", "n", "root", "bits").groupBy(*keys).applyInArrow(candidates, kind), "open")
+    found = written(near.join(sets.select("sid", "shingles"), "sid").groupBy(*keys).applyInArrow(linked, "a bigint, b bigint"), "within")
+    discard(near)
+    return found
+
+
 def similar(docs: DataFrame, key: str, text: str = "text", size: int = 5, least: float = 0.8, radius: int = 2, bands: int = 20, rows: int = 5,
             carry: tuple[str, ...] = (), by_fingerprint: bool = False) -> DataFrame:
     """One row for each row of ``docs``: ``key`` (unique and not NULL), ``carry``
@@ -229,49 +307,50 @@ def similar(docs: DataFrame, key: str, text: str = "text", size: int = 5, least:
     in ``radius`` bits or fewer.
 
     The members of a bucket are compared with its smallest set; where one of
-    them is unlike it, all are compared with three further centres, each drawn
-    bucket by bucket, so that the cost stays in proportion to the members.
+    them is unlike it, all its pairs that no link has joined yet are compared.
     NULL texts count as empty; texts without words are equal to each other.
+    Copies of a set may have fingerprints of their own, which all count.
     """
     rows_ = written(_described(docs, [key, *carry], text, size, bands, rows), "described")
     nodes = written(rows_.groupBy("sid").agg(F.min(key).alias("first_")), "nodes")
-    # one row for each set
+    # one row for each set, and for each of its fingerprints
     own = rows_.join(nodes.select(F.col("first_").alias(key)), key, "left_semi")
-    within = links(own.select("fp").distinct(), radius)
-    near = within.selectExpr("a AS fp", "b AS lo").unionByName(within.selectExpr("b AS fp", "b AS lo")).distinct()
-    by_fp = own.select("sid", "n", F.lit(-1).alias("t"), F.col("fp").alias("v"))
-    stars = own.select("sid", "n", "fp").join(near, "fp").select("sid", "n", F.lit(-2).alias("t"), F.col("lo").alias("v"))
-    members = own.select("sid", "n", F.posexplode("bands").alias("t", "v")).unionByName(by_fp).unionByName(stars)
+    prints = written(rows_.groupBy("sid", "fp").agg(F.first("n").alias("n")), "prints")
+    within = links(prints.select("fp").distinct(), radius)
+    members = own.select("sid", "n", F.posexplode("bands").alias("t", "v"))
+    if by_fingerprint:
+        # texts that share these buckets are linked whatever their sets
+        first = prints.groupBy("fp").agg(F.min("sid").alias("m"))
+        same = prints.join(first, "fp").where("sid <> m").selectExpr("sid AS a", "m AS b")
+        both = within.join(first.selectExpr("fp AS a", "m AS x"), "a").join(first.selectExpr("fp AS b", "m AS y"), "b")
+        by_prints = same.unionByName(both.selectExpr("x AS a", "y AS b"))
+    else:
+        near = within.selectExpr("a AS fp", "b AS lo").unionByName(within.selectExpr("b AS fp", "b AS lo")).distinct()
+        by_fp = prints.select("sid", "n", F.lit(-1).alias("t"), F.col("fp").alias("v"))
+        stars = prints.join(near, "fp").select("sid", "n", F.lit(-2).alias("t"), F.col("lo").alias("v")).distinct()
+        members = members.unionByName(by_fp).unionByName(stars)
     full = members.groupBy("t", "v").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("t", "v")
     members = written(members.join(full, ["t", "v"], "left_semi"), "buckets")
     # the texts of sets that share a bucket are read again, one for each set
     shared = nodes.join(members.select("sid").distinct(), "sid", "left_semi").select(F.col("first_").alias(key))
     sets = written(_sets(docs.select(key, text).join(shared, key, "left_semi"), text, size), "sets")
-
-    def around(buckets: DataFrame, order) -> DataFrame:
-        centre = buckets.groupBy("t", "v").agg(F.min(F.struct(order.alias("o"), "sid", "n")).alias("c"))
-        pairs = buckets.join(centre, ["t", "v"]).where("sid <> c.sid")
-        return pairs.select("t", "v", F.least("sid", "c.sid").alias("a"), F.greatest("sid", "c.sid").alias("b"), F.col("n").alias("m"), F.col("c.n").alias("k"))
-
+    centre = members.groupBy("t", "v").agg(F.min(F.struct("sid", "n")).alias("c"))
+    starred = members.join(centre, ["t", "v"]).where("sid <> c.sid").select(
+        "t", "v", F.least("sid", "c.sid").alias("a"), F.greatest("sid", "c.sid").alias("b"), F.col("n").alias("m"), F.col("c.n").alias("k"))
+    pairs = written(starred, "pairs")
     # sets of very different sizes can't be similar
-    fitting = lambda p: p.where(F.least("m", "k") >= least * F.greatest("m", "k") - 1e-9)
-    pairs = written(around(members, F.lit(0)), "pairs")
-    found = _alike(fitting(pairs), sets, least)
+    found = _alike(pairs.where(F.least("m", "k") >= least * F.greatest("m", "k") - 1e-9), sets, least)
     mixed = pairs.join(found, ["a", "b"], "left_anti").select("t", "v").distinct()
-    rest = written(members.join(mixed, ["t", "v"], "left_semi"), "mixed")
-    further = around(rest, F.xxhash64("sid", "t", F.lit(0)))
-    for k in (1, 2):
-        further = further.unionByName(around(rest, F.xxhash64("sid", "t", F.lit(k))))
-    found = found.unionByName(_alike(fitting(further).join(found, ["a", "b"], "left_anti"), sets, least))
-    discard(members, sets, pairs, rest)
-    if by_fingerprint:
-        first = own.groupBy("fp").agg(F.min("sid").alias("m"))
-        same = own.join(first, "fp").where("sid <> m").selectExpr("sid AS a", "m AS b")
-        both = within.join(first.selectExpr("fp AS a", "m AS x"), "a").join(first.selectExpr("fp AS b", "m AS y"), "b")
-        found = written(found.unionByName(same).unionByName(both.selectExpr("x AS a", "y AS b")), "linked")
-    roots = components(found).withColumnRenamed("node", "sid")
-    discard(found)
+    edges = found.unionByName(by_prints) if by_fingerprint else found
+    roots = components(edges).withColumnRenamed("node", "sid")
+    rest = members.join(mixed, ["t", "v"], "left_semi").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    rest = written(rest.select("t", "v", "sid", "n", "root"), "mixed")
+    joined = components(_within_buckets(rest, sets, least)).selectExpr("node AS sid", "root AS upper")
+    # a set without a root of its own may be joined to others
+    roots = roots.join(joined.selectExpr("sid AS root", "upper"), "root", "left").select("sid", F.coalesce("upper", "root").alias("root")).unionByName(
+        joined.join(roots, "sid", "left_anti").selectExpr("sid", "upper AS root"))
     linked = nodes.join(roots, "sid")
     linked = linked.join(linked.groupBy("root").agg(F.min("first_").alias("least_")), "root").select("sid", "least_")
     named = nodes.join(linked, "sid", "left").select("sid", F.coalesce("least_", "first_").alias("component_id"))
+    discard(members, sets, pairs, rest)
     return rows_.select(key, *carry, "sid").join(named, "sid").select(key, *carry, "component_id")

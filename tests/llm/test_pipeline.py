@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 from evenground.llm.queries import ORACLES, QUERIES
+from evenground.llm.simhash import similar
 from tests.llm.test_operators import SCHEMA, WORDS, sample
 
 
@@ -71,6 +72,47 @@ def test_fingerprints_within_two_bits_are_linked(spark):
     assert left == {1, 2}
 
 
+def test_all_fingerprints_of_a_set_are_linked(spark):
+    from evenground.llm.simhash import fingerprint, shingle_hashes
+
+    # the first two texts have one set of shingles, but repeat other phrases of it
+    phrase, tail, other = (" ".join(f"{n}{i}" for i in range(k)) + " " for n, k in (("p", 41), ("a", 30), ("b", 30)))
+    texts = [phrase * 2 + tail * 60, phrase * 300 + tail * 2, phrase * 300 + other * 2]
+    a, b, c = (fingerprint(t.encode(), 5) for t in texts)
+    x, y, z = (set(shingle_hashes(t.encode(), 5).tolist()) for t in texts)
+    assert x == y and len(y & z) < 0.8 * len(y | z) and (b ^ c).bit_count() <= 2 < (a ^ c).bit_count()
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id bigint, text string").coalesce(1)
+    assert [r[0] for r in corpus_pipeline.dedup_documents(spark, docs, "").select("doc_id").collect()] == [1]
+
+
+def test_every_pair_of_a_bucket_counts(spark):
+    from evenground.llm.simhash import shingle_hashes
+
+    # copies of one text with words of their own: most are unlike each other
+    rnd = random.Random(5)
+    plain, table = [f"w{i}" for i in range(150)], []
+    for g in range(300):
+        own = list(plain)
+        for k in rnd.sample(range(150), rnd.randint(2, 7)):
+            own[k] = f"o{rnd.randint(0, 10**9)}"
+        table.append((g, " ".join(own)))
+    sets = [set(shingle_hashes(t.encode(), 5).tolist()) for _, t in table]
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    assert 100 < len(set(root)) < 290
+    docs = spark.createDataFrame(table, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["component_id"] for r in similar(docs, "doc_id", bands=60, rows=3).collect()}
+    assert found == dict(enumerate(root))
+
+
+def test_buckets_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr("evenground.llm.simhash.BLOCK_SETS", 16)
+    test_every_pair_of_a_bucket_counts(spark)
+
+
 def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, _folder(spark, tmp_path, [])).count() == 0
 
